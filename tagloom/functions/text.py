@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from tagloom.constants import ASCII_PUNCT, CASED, CJK, CJK_PUNCT, LINE_BREAK, PUNCT, SPACE, digit_class, numeric_class
 
-REGEX_SPECIALS = r"\.+*?()|[]{}^$#&-~/"
-
 
 def as_col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
