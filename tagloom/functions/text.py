@@ -74,9 +74,7 @@ def is_lower(col: Column | str) -> Column:
 def title_case(col: Column | str) -> Column:
     """Upper case after every character without case, lower case elsewhere."""
     runs = F.regexp_extract_all(as_col(col), F.lit(rf"[{CASED}]+|[^{CASED}]+"), F.lit(0))
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substr(r, F.lit(2))))), ""
-    )
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def is_title(col: Column | str) -> Column:
@@ -145,10 +143,10 @@ def word_count(col: Column | str, collapse: bool = False) -> Column:
     return F.size(words_of(col)) if collapse else F.size(F.split(as_col(col), " "))
 
 
-def format_pairs(pairs: Column, precision: int = 3) -> Column:
-    """``w: v, w: v`` from an array of (word, value) structs."""
+def format_pairs(pairs: Column, word: str = "word", value: str = "score", precision: int = 3) -> Column:
+    """``w: v, w: v`` from an array of structs."""
     return F.array_join(
-        F.transform(pairs, lambda p: F.concat(p[0], F.lit(": "), F.round(p[1], precision).cast("string"))), ", "
+        F.transform(pairs, lambda p: F.concat(p[word], F.lit(": "), F.round(p[value], precision).cast("string"))), ", "
     )
 
 

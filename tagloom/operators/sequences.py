@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.constants import END_TOKEN, OUTSIDE, WINDOW_SIZE
-from tagloom.functions.text import as_col, startswith_any
+from tagloom.functions.text import format_pairs, startswith_any
 
 BLOCK_ROWS = 1 << 16
 SENTENCE = ("doc_id", "sent_id")
@@ -208,21 +208,16 @@ def head_tail_words(scored: DataFrame, parts: int = 5, precision: int = 3) -> Da
     null ``tail``. A group is the vocabulary of one document cell.
     """
     by_score = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("o"), "word", "score")))
-    pairs = F.transform("_w", lambda p: F.struct(p["word"], p["score"]))
+    pairs = F.transform("_w", lambda p: F.struct(p["word"].alias("word"), p["score"].alias("score")))
     n = F.size("_w")
     cut = F.floor(n / parts).cast("int")
-
-    def show(array: Column) -> Column:
-        return F.array_join(
-            F.transform(array, lambda p: F.concat(p[0], F.lit(": "), F.round(p[1], precision).cast("string"))), ", "
-        )
-
     split = n > parts - 1
+    head = F.when(split, F.slice(pairs, F.lit(1), cut)).otherwise(pairs)
     return (
         scored.groupBy("doc_id").agg(by_score.alias("_w"))
         .select(
             "doc_id",
-            F.when(split, show(F.slice(pairs, F.lit(1), cut))).otherwise(show(pairs)).alias("head"),
-            F.when(split, show(F.slice(pairs, cut + 1, n))).alias("tail"),
+            format_pairs(head, precision=precision).alias("head"),
+            format_pairs(F.when(split, F.slice(pairs, cut + 1, n)), precision=precision).alias("tail"),
         )
     )

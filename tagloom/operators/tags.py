@@ -98,8 +98,7 @@ def remap_entities(phrases: DataFrame, remap: DataFrame) -> DataFrame:
     fixes = remap.groupBy("wrong").agg(F.max("correct").alias("correct"))
     key = F.concat_ws("##", "entity", "ner")
     joined = phrases.withColumn("_key", key).join(fixes, F.col("_key") == F.col("wrong"), "left")
-    fixed = F.coalesce("correct", "_key")
+    fixed = [F.split_part("correct", F.lit("##"), F.lit(i)) for i in (1, 2)]
     return joined.select(
-        "doc_id", F.split_part(fixed, F.lit("##"), F.lit(1)).alias("entity"),
-        F.split_part(fixed, F.lit("##"), F.lit(2)).alias("ner"), "cnt",
+        "doc_id", F.coalesce(fixed[0], "entity").alias("entity"), F.coalesce(fixed[1], "ner").alias("ner"), "cnt"
     )
