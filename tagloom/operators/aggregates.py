@@ -15,6 +15,7 @@ from tagloom.constants import WORD
 from tagloom.functions.text import as_col, is_alnum, title_case, tokens_of, words_of
 from tagloom.operators.joins import only_in, union_all
 from tagloom.operators.ranking import quantiles
+from tagloom.session import freeze
 
 
 def count_values(df: DataFrame, col: str, out: str = "cnt") -> DataFrame:
@@ -168,20 +169,23 @@ def mutual_ratio(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.join(y, "token").withColumn("ratio", F.try_divide(F.col("count_x").cast("double"), F.col("count_y")))
 
 
-def contrast_keywords(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Keyword lists (token) of each corpus.
+def contrast_keywords(a: DataFrame, b: DataFrame, first: bool = True) -> DataFrame:
+    """Keywords (token) of corpus ``a``, or of ``b`` with ``first=False``.
 
-    A token qualifies for the first list if its ratio is above the upper
-    quartile or the second corpus lacks it, and its count is above the upper
-    quartile of those; the other list mirrors this.
+    A token qualifies for ``a`` if its ratio is above the upper quartile or
+    ``b`` lacks it, and its count is above the upper quartile of those; the list
+    of ``b`` mirrors this. The counts are read several times, so they are
+    written once instead of being drawn from the text again.
     """
+    a, b = freeze(a), freeze(b)
     mutual = mutual_ratio(a, b)
-    cut = quantiles(mutual, "ratio", [0.25, 0.75])
-    tail = mutual.where(F.col("ratio") > cut.select("q1").scalar()).select("token", F.col("count_x").alias("cnt"))
-    head = mutual.where(F.col("ratio") < cut.select("q0").scalar()).select("token", F.col("count_y").alias("cnt"))
-    out = []
-    for own, mine, other in ((tail, a, b), (head, b, a)):
-        pool = union_all([own, only_in(mine, other, "token").select("token", "cnt")])
-        top = quantiles(pool, "cnt", [0.75]).scalar()
-        out.append(pool.where(F.col("cnt") > top).select("token"))
-    return out[0], out[1]
+    cut = quantiles(mutual, "ratio", [0.75 if first else 0.25]).scalar()
+    if first:
+        own, mine, other, count = mutual.where(F.col("ratio") > cut), a, b, "count_x"
+    else:
+        own, mine, other, count = mutual.where(F.col("ratio") < cut), b, a, "count_y"
+    pool = union_all(
+        [own.select("token", F.col(count).alias("cnt")), only_in(mine, other, "token").select("token", "cnt")]
+    )
+    top = quantiles(pool, "cnt", [0.75]).scalar()
+    return pool.where(F.col("cnt") > top).select("token")

@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ cloudpickle.register_pickle_by_value(crf_kernels)
 
 BUCKETS = 1 << 18
 MEMORY = 6
+TOKENS_AT_ONCE = 200_000  # tokens whose marginals a task holds at a time, in whole sentences
 
 
 @dataclass
@@ -119,72 +121,64 @@ def pack_sentences(
     return packed, n
 
 
-def _observed(packed: DataFrame, labels: Sequence[str], n_slots: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Feature and transition counts of the training labels; at most buckets × labels rows."""
-    place = {label: i for i, label in enumerate(labels)}
-    owner = F.element_at("labels", (F.floor(F.col("_at") / n_slots) + 1).cast("int"))
-    state = (
-        packed.select("labels", F.posexplode("slots").alias("_at", "bucket")).where("bucket >= 0")
-        .groupBy("bucket", owner.alias("label")).agg(F.count(F.lit(1)).alias("n")).toPandas()
-    )
-    steps = F.arrays_zip(
-        F.slice("labels", F.lit(1), F.size("labels") - 1).alias("a"),
-        F.slice("labels", F.lit(2), F.size("labels")).alias("b"),
-    )
-    trans = (
-        packed.select(F.explode(steps).alias("s")).groupBy("s.a", "s.b").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    )
-    counts = np.zeros((buckets, len(labels)))
-    counts[state["bucket"], state["label"].map(place)] = state["n"]
-    moves = np.zeros((len(labels), len(labels)))
-    moves[trans["a"].map(place).astype(int), trans["b"].map(place).astype(int)] = trans["n"]
-    return counts, moves
-
-
-def _expected(
-    packed: DataFrame, state: np.ndarray, trans: np.ndarray, n_slots: int
+def _counts(
+    packed: DataFrame, labels: Sequence[str], n_slots: int, buckets: int, weights: tuple[np.ndarray, np.ndarray] | None
 ) -> tuple[float, np.ndarray, np.ndarray]:
-    """Log partition sum and expected counts over all sentences.
+    """Log partition sum, feature counts and transition counts over all sentences.
 
-    Each task adds up its batches and emits one row per touched feature; rows
-    with negative ids hold transitions and, last, the partition sum.
+    With ``weights`` these are expected counts, without them the counts of the
+    known labels. Each task adds up its batches and emits one row per touched
+    feature; rows with negative ids hold transitions and, last, the partition
+    sum. The result has at most buckets × labels numbers.
     """
-    spark = packed.sparkSession
-    buckets, n = state.shape
-    shared = spark.sparkContext.broadcast((np.vstack([state, np.zeros(n)]), trans))
-    schema = "id int, " + ", ".join(f"g{i} double" for i in range(n))
+    n = len(labels)
+    shared = None
+    if weights is not None:
+        shared = packed.sparkSession.sparkContext.broadcast((np.vstack([weights[0], np.zeros(n)]), weights[1]))
+    names = list(labels)
+    columns = ["id", *[f"g{i}" for i in range(n)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, moves = shared.value
         total, pairs, log_z = np.zeros((buckets, n)), np.zeros((n, n)), 0.0
         for batch in batches:
-            if batch.num_rows:
-                slots, lengths = crf_kernels.slot_batch(batch, n_slots)
-                z, marginals, steps = crf_kernels.expectations(crf_kernels.emissions(slots, weights), moves, lengths)
-                crf_kernels.add_by_slot(total, slots, marginals)
+            if not batch.num_rows:
+                continue
+            flat, ends = crf_kernels.list_values(batch.column("slots"))
+            slots = flat.to_numpy(zero_copy_only=False).reshape(-1, n_slots)
+            ends = ends // n_slots
+            if shared is None:
+                tags = crf_kernels.list_values(batch.column("labels"))[0]
+                known = pc.index_in(tags, value_set=pa.array(names)).to_numpy(zero_copy_only=False)
+            for first, last in crf_kernels.pieces(np.diff(ends), TOKENS_AT_ONCE):
+                lengths, part = np.diff(ends[first : last + 1]), slice(ends[first], ends[last])
+                if shared is None:
+                    marginals, steps = crf_kernels.observed(known[part], lengths, n)
+                else:
+                    state, trans = shared.value
+                    z, marginals, steps = crf_kernels.expectations(
+                        crf_kernels.emissions(slots[part], state), trans, lengths
+                    )
+                    log_z += z
+                crf_kernels.add_by_slot(total, slots[part], marginals)
                 pairs += steps
-                log_z += z
         ids = np.flatnonzero(total.any(axis=1))
-        last = np.zeros((1, n))
-        last[0, 0] = log_z
-        values = np.vstack([total[ids], pairs, last])
+        tail = np.zeros((1, n))
+        tail[0, 0] = log_z
+        values = np.vstack([total[ids], pairs, tail])
         ids = np.concatenate([ids, -np.arange(1, n + 2)]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), *[pa.array(values[:, i]) for i in range(n)]], ["id", *[f"g{i}" for i in range(n)]]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(ids), *[pa.array(values[:, i]) for i in range(n)]], columns)
 
     try:
-        sums = packed.select("slots").mapInArrow(run, schema).groupBy("id").agg(
-            *[F.sum(f"g{i}").alias(f"g{i}") for i in range(n)]
-        ).toPandas()
+        sums = packed.select("slots", "labels").mapInArrow(run, "id int, " + ", ".join(f"{c} double" for c in columns[1:]))
+        sums = sums.groupBy("id").agg(*[F.sum(c).alias(c) for c in columns[1:]]).toPandas()
     finally:
-        shared.unpersist()
+        if shared is not None:
+            shared.unpersist()
     ids, values = sums["id"].to_numpy(), sums.drop(columns="id").to_numpy()
-    grad = np.zeros((buckets, n))
-    grad[ids[ids >= 0]] = values[ids >= 0]
-    moves = np.zeros((n + 1, n))
+    state, moves = np.zeros((buckets, n)), np.zeros((n + 1, n))
+    state[ids[ids >= 0]] = values[ids >= 0]
     moves[-ids[ids < 0] - 1] = values[ids < 0]
-    return float(moves[n, 0]), grad, moves[:n]
+    return float(moves[n, 0]), state, moves[:n]
 
 
 def _direction(grad: np.ndarray, memory: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -254,7 +248,7 @@ def crf_fit(
     packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         labels = [r[0] for r in packed.select(F.explode("labels")).distinct().orderBy("col").collect()]
-        counts, moves = _observed(packed, labels, n_slots, buckets)
+        _, counts, moves = _counts(packed, labels, n_slots, buckets, None)
         seen = np.flatnonzero(counts.ravel())
         observed = np.concatenate([counts.ravel()[seen], moves.ravel()])
         n_state, shape = len(seen), counts.shape
@@ -265,7 +259,7 @@ def crf_fit(
             return state.reshape(shape), w[n_state:].reshape(len(labels), len(labels))
 
         def smooth(w: np.ndarray) -> tuple[float, np.ndarray]:
-            log_z, grad, pairs = _expected(packed, *unpack(w), n_slots)
+            log_z, grad, pairs = _counts(packed, labels, n_slots, buckets, unpack(w))
             expected = np.concatenate([grad.ravel()[seen], pairs.ravel()])
             return log_z - w @ observed + c2 * (w @ w), expected - observed + 2 * c2 * w
 
@@ -291,15 +285,20 @@ def crf_predict(packed: DataFrame, n_slots: int, models: Mapping[str, CrfModel])
         for batch in batches:
             if not batch.num_rows:
                 continue
-            slots, lengths = crf_kernels.slot_batch(batch, n_slots)
-            ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-            found = [
-                pa.ListArray.from_arrays(
-                    ends, pa.array(crf_kernels.best_paths(crf_kernels.emissions(slots, w), t, lengths))
-                )
-                for w, t in shared.value
-            ]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *found], [*keep, *paths])
+            flat, ends = crf_kernels.list_values(batch.column("slots"))
+            slots = flat.to_numpy(zero_copy_only=False).reshape(-1, n_slots)
+            ends = ends // n_slots
+            for first, last in crf_kernels.pieces(np.diff(ends), TOKENS_AT_ONCE):
+                part, bounds = slots[ends[first] : ends[last]], ends[first : last + 1] - ends[first]
+                found = [
+                    pa.ListArray.from_arrays(
+                        pa.array(bounds, pa.int32()),
+                        pa.array(crf_kernels.best_paths(crf_kernels.emissions(part, w), t, np.diff(bounds))),
+                    )
+                    for w, t in shared.value
+                ]
+                rows = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in keep], *found], [*keep, *paths])
 
     decoded = packed.select(*keep, "slots").mapInArrow(run, schema)
     rows = decoded.select(

@@ -9,7 +9,7 @@ next to a block border, so that no task holds a whole file.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,6 +112,37 @@ def delimiter_rows(df: DataFrame, keys: Sequence[str] = ("doc_id",), order: str
     return df.where(F.col("token") == delim).select(*keys, order)
 
 
+def sentence_rows(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: str, out: str = "_rows") -> DataFrame:
+    """(keys, _rows): the rows of each sentence as one array in order."""
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, *cols))).alias(out))
+
+
+def closed_runs(
+    df: DataFrame, rows: str, closes: Callable[[Column], Column], out: str, keep_open: bool = False
+) -> DataFrame:
+    """Cut an array of rows behind every row that ``closes``.
+
+    ``out`` is an array of runs; rows behind the last closing one make a run only
+    with ``keep_open``.
+    """
+    ends = F.filter(F.transform(rows, lambda r, i: F.when(closes(r), i + 1)), lambda e: e.isNotNull())
+    df = df.withColumn("_ends", ends)
+    if keep_open:
+        n = F.size(rows)
+        open_tail = F.coalesce(F.try_element_at("_ends", F.lit(-1)), F.lit(0)) < n
+        df = df.withColumn("_ends", F.when(open_tail, F.array_append("_ends", n)).otherwise(F.col("_ends")))
+
+    def run(end: Column, k: Column) -> Column:
+        start = F.coalesce(F.get("_ends", k - 1), F.lit(0))
+        return F.slice(rows, start + 1, end - start)
+
+    return df.withColumn(out, F.transform("_ends", run)).drop("_ends")
+
+
+def joined(run: Column, sep: str) -> Column:
+    return F.array_join(F.transform(run, lambda r: r["token"]), sep)
+
+
 def rebuild_words(
     df: DataFrame,
     tag: str = "ner",
@@ -121,15 +152,10 @@ def rebuild_words(
     sep: str = "",
 ) -> DataFrame:
     """(keys, word_id, word): join tokens until a closing tag; an unclosed tail is dropped."""
-    closes = F.col(tag).isin(list(closers))
-    cut = running_count(df.select(*keys, order, "token", tag), keys, order, closes, "word_id")
-    parts = F.array_sort(F.collect_list(F.struct(order, "token")))
-    return (
-        cut.groupBy(*keys, "word_id")
-        .agg(parts.alias("_parts"), F.max(closes.cast("int")).alias("_closed"))
-        .where("_closed = 1")
-        .select(*keys, "word_id", F.array_join(F.transform("_parts", lambda p: p["token"]), sep).alias("word"))
-    )
+    rows = sentence_rows(df, ["token", tag], keys, order)
+    runs = closed_runs(rows, "_rows", lambda r: r[tag].isin(list(closers)), "_runs")
+    words = F.transform("_runs", lambda run: joined(run, sep))
+    return runs.select(*keys, F.posexplode(words).alias("word_id", "word"))
 
 
 def words_to_lines(words: DataFrame, keys: Sequence[str] = SENTENCE) -> DataFrame:
@@ -151,18 +177,14 @@ def typed_segments(
     The type is the one of the first tag. An unclosed tail is dropped unless
     ``keep_open`` is set.
     """
-    closes = startswith_any(tag, CLOSERS)
-    tagged = df.select(*keys, order, "token", tag).where(F.col(tag) != OUTSIDE)
-    cut = running_count(tagged, keys, order, closes, "seg_id")
-    parts = F.array_sort(F.collect_list(F.struct(order, "token")))
-    segs = cut.groupBy(*keys, "seg_id").agg(
-        parts.alias("_parts"),
-        F.min_by(F.substr(F.col(tag), F.lit(3)), order).alias("ner"),
-        F.max(closes.cast("int")).alias("_closed"),
+    rows = sentence_rows(df.where(F.col(tag) != OUTSIDE), ["token", tag], keys, order)
+    runs = closed_runs(rows, "_rows", lambda r: startswith_any(r[tag], CLOSERS), "_runs", keep_open)
+    entities = F.transform(
+        "_runs",
+        lambda run: F.struct(joined(run, sep).alias("entity"), F.substr(run[0][tag], F.lit(3)).alias("ner")),
     )
-    kept = segs if keep_open else segs.where("_closed = 1")
-    return kept.select(
-        *keys, "seg_id", F.array_join(F.transform("_parts", lambda p: p["token"]), sep).alias("entity"), "ner"
+    return runs.select(*keys, F.posexplode(entities).alias("seg_id", "_e")).select(
+        *keys, "seg_id", "_e.entity", "_e.ner"
     )
 
 

@@ -149,7 +149,7 @@ _REBUILT = f"""{inp.DOC_CHARS}, pert AS (SELECT doc_id, sent_id, tok_id, token,
     WHEN {inp.RULE} = 5 THEN 'U-w' ELSE ner END AS ner FROM chars),
     seg AS (SELECT *, ner IN ('L-w', 'U-w', 'O') AS c, coalesce(sum((ner IN ('L-w', 'U-w', 'O'))::INTEGER) OVER (PARTITION BY
     doc_id, sent_id ORDER BY tok_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM pert),
-    wd AS (SELECT doc_id, sent_id, s::BIGINT AS word_id, string_agg(token, '' ORDER BY tok_id) AS word
+    wd AS (SELECT doc_id, sent_id, s::INTEGER AS word_id, string_agg(token, '' ORDER BY tok_id) AS word
     FROM seg GROUP BY 1, 2, 3 HAVING bool_or(c))"""
 
 
@@ -636,9 +636,9 @@ def _keywords_sql(count: str, cut: str, own: str, other: str) -> str:
 
 @query("corpus_keywords_a", _keywords_sql("count_x", "> (SELECT quantile_cont(ratio, 0.75) FROM mutual)", "a", "b"))
 def corpus_keywords_a(spark, d):
-    return ag.contrast_keywords(*_corpora(spark, d))[0]
+    return ag.contrast_keywords(*_corpora(spark, d))
 
 
 @query("corpus_keywords_b", _keywords_sql("count_y", "< (SELECT quantile_cont(ratio, 0.25) FROM mutual)", "b", "a"))
 def corpus_keywords_b(spark, d):
-    return ag.contrast_keywords(*_corpora(spark, d))[1]
+    return ag.contrast_keywords(*_corpora(spark, d), first=False)

@@ -22,9 +22,10 @@ def number_lines(scan: DataFrame, out: str = "line_no") -> DataFrame:
     """Number the rows of every scanned file from 0, in file order.
 
     ``scan`` is a file scan that has not been shuffled. One task reads a split
-    from front to back, so inside (file, split start) the increasing id gives
-    the order; the rows of earlier splits of the same file are then added up
-    from one small row per split. No file has to fit into one task.
+    from front to back and its ids grow by one, so a row's place in its split is
+    its id less the first one. Earlier splits of the same file are added up from
+    one small row per split: lines are neither shuffled nor sorted, and no file
+    has to fit into one task.
     """
     cols = scan.columns
     placed = scan.select(
@@ -33,16 +34,13 @@ def number_lines(scan: DataFrame, out: str = "line_no") -> DataFrame:
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_seq"),
     )
-    in_split = Window.partitionBy("path", "_split").orderBy("_seq")
     before = Window.partitionBy("path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("path", "_split").agg(F.count(F.lit(1)).alias("_n"))
-        .select("path", "_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    splits = (
+        placed.groupBy("path", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
+        .select("path", "_split", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     )
-    return (
-        placed.withColumn("_at", F.row_number().over(in_split) - 1)
-        .join(offsets, ["path", "_split"])
-        .select("path", (F.col("_before") + F.col("_at")).alias(out), *cols)
+    return placed.join(splits, ["path", "_split"]).select(
+        "path", (F.col("_seq") + F.col("_shift")).alias(out), *cols
     )
 
 
