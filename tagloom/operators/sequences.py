@@ -197,8 +197,9 @@ def context_features(
     away from the edge. All columns share one window, so one sort serves them.
     """
     w = ordered(keys, order)
-    before = {k: F.lag("token", k).over(w) for k in range(1, window + 1)}
-    after = {k: F.lead("token", k).over(w) for k in range(1, window + 1)}
+    reach = range(1, max(window, 1) + 1)
+    before = {k: F.lag("token", k).over(w) for k in reach}
+    after = {k: F.lead("token", k).over(w) for k in reach}
     cols = {}
     for k in range(1, window + 1):
         cols[f"previous{k}cur"] = F.concat(*[before[j] for j in range(k, 0, -1)], F.col("token"))
