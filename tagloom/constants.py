@@ -86,6 +86,8 @@ SPACE = (
     r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 
+SPACE_CHARS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+
 WORD = r"\p{L}\p{N}_"
 CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 CJK = r"\x{4E00}-\x{9FFF}"

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagloom.constants import ASCII_PUNCT, CASED, CJK, CJK_PUNCT, LINE_BREAK, PUNCT, SPACE, digit_class, numeric_class
+from tagloom.constants import ASCII_PUNCT, CASED, CJK, CJK_PUNCT, LINE_BREAK, PUNCT, SPACE, SPACE_CHARS, digit_class, numeric_class
 
 
 def as_col(col: Column | str) -> Column:
@@ -39,7 +39,7 @@ def endswith_any(col: Column | str, suffixes: Sequence[str]) -> Column:
 
 def strip_space(col: Column | str) -> Column:
     """Trim every kind of white space on both sides."""
-    return F.regexp_replace(as_col(col), rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(as_col(col), F.lit(SPACE_CHARS))
 
 
 def lines_of(col: Column | str) -> Column:
@@ -117,7 +117,8 @@ def rstrip_chars(col: Column | str, chars: str) -> Column:
 
 def remove_punc(col: Column | str) -> Column:
     """Lower case without numeric and punctuation characters; spaces stay."""
-    pattern = rf"[{ASCII_PUNCT}{CJK_PUNCT}{numeric_class()}]"
+    # Plain letters and blanks leave the class at once; the long one is only tried on the rest.
+    pattern = rf"[[^A-Za-z \x{{C0}}-\x{{24F}}]&&[{ASCII_PUNCT}{CJK_PUNCT}{numeric_class()}]]"
     return F.lower(F.regexp_replace(as_col(col), pattern, ""))
 
 

@@ -1,10 +1,11 @@
 """Training and decoding of a linear-chain CRF as Spark jobs.
 
-Sentences are packed once, one row each. A training step broadcasts the weights
-(at most ``buckets`` × labels numbers), runs forward-backward over Arrow batches
-in the tasks and sums the expected counts by feature in Spark. The driver holds
-the weight vector and a few copies of it, never data. Observed counts do not
-change, so they come from one SQL aggregate before the first step.
+Features of a token are hashed ids in integer columns. One shuffle brings the
+tokens of a sentence together and in order, and the tasks read them from Arrow
+batches, cut at sentence starts. A training step broadcasts the weights (at most
+``buckets`` × labels numbers), runs forward-backward and sums the expected
+counts by feature in Spark. The driver holds the weight vector and a few copies
+of it, never data. Observed counts do not change and are taken once.
 
 Objective: negative log-likelihood + c2·‖w‖² + c1·‖w‖₁, minimised with the
 orthant-wise limited-memory quasi-Newton method (Andrew & Gao 2007).
@@ -12,6 +13,7 @@ orthant-wise limited-memory quasi-Newton method (Andrew & Gao 2007).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -95,72 +97,60 @@ def load_models(spark: SparkSession, paths: Sequence[str]) -> dict[str, CrfModel
     return {model_name(p): load_model(spark, p) for p in paths}
 
 
-def pack_sentences(
+def sequence_rows(
     tokens: DataFrame,
     config: FeatureConfig,
     lexicons: DataFrame | None = None,
     buckets: int = BUCKETS,
     label: str | None = "ner",
-) -> tuple[DataFrame, int]:
-    """(doc_id, sent_id, tok_ids, tokens, labels, slots) and the number of slots per token.
+) -> DataFrame:
+    """(doc_id, sent_id, tok_id, token, label, starts, f0, f1, …), sentences whole and in order inside partitions.
 
-    ``slots`` is one flat list of feature ids. Features and packing share one
-    shuffle by sentence.
+    The features already need this order, so it costs no second shuffle or sort.
     """
-    features = feature_columns(tokens, config, lexicons)
-    slots, n = hashed_slots(features, config, buckets)
-    y = F.col(label) if label else F.lit(OUTSIDE)
-    rows = F.array_sort(F.collect_list(F.struct("tok_id", "token", y.alias("label"), slots.alias("slots"))))
-    packed = features.groupBy(*SENTENCE).agg(rows.alias("_rows")).select(
-        *SENTENCE,
-        F.transform("_rows", lambda r: r["tok_id"]).alias("tok_ids"),
-        F.transform("_rows", lambda r: r["token"]).alias("tokens"),
-        F.transform("_rows", lambda r: r["label"]).alias("labels"),
-        F.flatten(F.transform("_rows", lambda r: r["slots"])).alias("slots"),
-    )
-    return packed, n
+    slots = hashed_slots(features := feature_columns(tokens, config, lexicons), config, buckets)
+    return features.select(
+        *SENTENCE, "tok_id", "token",
+        (F.col(label) if label else F.lit(OUTSIDE)).alias("label"),
+        F.coalesce("BOS", F.lit(False)).alias("starts"),
+        *[slot.alias(f"f{i}") for i, slot in enumerate(slots)],
+    ).sortWithinPartitions(*SENTENCE, "tok_id")
+
+
+def _slot_names(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if re.fullmatch(r"f[0-9]+", c)]
 
 
 def _counts(
-    packed: DataFrame, labels: Sequence[str], n_slots: int, buckets: int, weights: tuple[np.ndarray, np.ndarray] | None
+    rows: DataFrame, labels: Sequence[str], buckets: int, weights: tuple[np.ndarray, np.ndarray] | None
 ) -> tuple[float, np.ndarray, np.ndarray]:
     """Log partition sum, feature counts and transition counts over all sentences.
 
     With ``weights`` these are expected counts, without them the counts of the
-    known labels. Each task adds up its batches and emits one row per touched
+    known labels. Each task adds up its sentences and emits one row per touched
     feature; rows with negative ids hold transitions and, last, the partition
     sum. The result has at most buckets × labels numbers.
     """
-    n = len(labels)
+    n, names = len(labels), list(labels)
+    slot_names = _slot_names(rows)
+    columns = ["id", *[f"g{i}" for i in range(n)]]
     shared = None
     if weights is not None:
-        shared = packed.sparkSession.sparkContext.broadcast((np.vstack([weights[0], np.zeros(n)]), weights[1]))
-    names = list(labels)
-    columns = ["id", *[f"g{i}" for i in range(n)]]
+        shared = rows.sparkSession.sparkContext.broadcast((np.vstack([weights[0], np.zeros(n)]), weights[1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, pairs, log_z = np.zeros((buckets, n)), np.zeros((n, n)), 0.0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat, ends = crf_kernels.list_values(batch.column("slots"))
-            slots = flat.to_numpy(zero_copy_only=False).reshape(-1, n_slots)
-            ends = ends // n_slots
+        for table, lengths in crf_kernels.whole_sentences(batches, TOKENS_AT_ONCE):
+            slots = [table[c].to_numpy() for c in slot_names]
             if shared is None:
-                tags = crf_kernels.list_values(batch.column("labels"))[0]
-                known = pc.index_in(tags, value_set=pa.array(names)).to_numpy(zero_copy_only=False)
-            for first, last in crf_kernels.pieces(np.diff(ends), TOKENS_AT_ONCE):
-                lengths, part = np.diff(ends[first : last + 1]), slice(ends[first], ends[last])
-                if shared is None:
-                    marginals, steps = crf_kernels.observed(known[part], lengths, n)
-                else:
-                    state, trans = shared.value
-                    z, marginals, steps = crf_kernels.expectations(
-                        crf_kernels.emissions(slots[part], state), trans, lengths
-                    )
-                    log_z += z
-                crf_kernels.add_by_slot(total, slots[part], marginals)
-                pairs += steps
+                known = pc.index_in(table["label"], value_set=pa.array(names)).to_numpy()
+                marginals, steps = crf_kernels.observed(known, lengths, n)
+            else:
+                state, trans = shared.value
+                z, marginals, steps = crf_kernels.expectations(crf_kernels.emissions(slots, state), trans, lengths)
+                log_z += z
+            crf_kernels.add_by_slot(total, slots, marginals)
+            pairs += steps
         ids = np.flatnonzero(total.any(axis=1))
         tail = np.zeros((1, n))
         tail[0, 0] = log_z
@@ -168,8 +158,9 @@ def _counts(
         ids = np.concatenate([ids, -np.arange(1, n + 2)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(ids), *[pa.array(values[:, i]) for i in range(n)]], columns)
 
+    read = ["starts", *slot_names] if shared is not None else ["starts", "label", *slot_names]
     try:
-        sums = packed.select("slots", "labels").mapInArrow(run, "id int, " + ", ".join(f"{c} double" for c in columns[1:]))
+        sums = rows.select(*read).mapInArrow(run, "id int, " + ", ".join(f"{c} double" for c in columns[1:]))
         sums = sums.groupBy("id").agg(*[F.sum(c).alias(c) for c in columns[1:]]).toPandas()
     finally:
         if shared is not None:
@@ -238,17 +229,17 @@ def minimise(smooth, w: np.ndarray, c1: float, max_iter: int, tolerance: float =
 
 
 def crf_fit(
-    packed: DataFrame, n_slots: int, buckets: int = BUCKETS, c1: float = C1, c2: float = C2, max_iter: int = MAX_ITERATIONS
+    rows: DataFrame, buckets: int = BUCKETS, c1: float = C1, c2: float = C2, max_iter: int = MAX_ITERATIONS
 ) -> CrfModel:
-    """Train on packed sentences.
+    """Train on sequence rows.
 
     Weights exist for every (feature, label) pair seen in training and for
     every pair of labels.
     """
-    packed = packed.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.select("label", "starts", *_slot_names(rows)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        labels = [r[0] for r in packed.select(F.explode("labels")).distinct().orderBy("col").collect()]
-        _, counts, moves = _counts(packed, labels, n_slots, buckets, None)
+        labels = sorted(r[0] for r in rows.select("label").distinct().collect())
+        _, counts, moves = _counts(rows, labels, buckets, None)
         seen = np.flatnonzero(counts.ravel())
         observed = np.concatenate([counts.ravel()[seen], moves.ravel()])
         n_state, shape = len(seen), counts.shape
@@ -259,59 +250,42 @@ def crf_fit(
             return state.reshape(shape), w[n_state:].reshape(len(labels), len(labels))
 
         def smooth(w: np.ndarray) -> tuple[float, np.ndarray]:
-            log_z, grad, pairs = _counts(packed, labels, n_slots, buckets, unpack(w))
+            log_z, grad, pairs = _counts(rows, labels, buckets, unpack(w))
             expected = np.concatenate([grad.ravel()[seen], pairs.ravel()])
             return log_z - w @ observed + c2 * (w @ w), expected - observed + 2 * c2 * w
 
         w, losses = minimise(smooth, np.zeros(len(observed)), c1, max_iter)
         return CrfModel(labels, *unpack(w), losses)
     finally:
-        packed.unpersist()
+        rows.unpersist()
 
 
-def crf_predict(packed: DataFrame, n_slots: int, models: Mapping[str, CrfModel]) -> DataFrame:
-    """(doc_id, sent_id, tok_id, token, truth, one tag column per model), in one pass over the sentences."""
-    spark = packed.sparkSession
-    names = sorted(models)
-    shared = spark.sparkContext.broadcast(
+def crf_predict(rows: DataFrame, models: Mapping[str, CrfModel]) -> DataFrame:
+    """(doc_id, sent_id, tok_id, token, truth, one tag column per model), in one pass over the rows."""
+    names, slot_names = sorted(models), _slot_names(rows)
+    shared = rows.sparkSession.sparkContext.broadcast(
         [(np.vstack([models[k].state, np.zeros(len(models[k].labels))]), models[k].trans) for k in names]
     )
-    keep = [*SENTENCE, "tok_ids", "tokens", "labels"]
-    paths = [f"_path{i}" for i in range(len(names))]
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packed.select(*keep).schema)
-    schema = kept + "".join(f", {p} array<int>" for p in paths)
+    keep = [*SENTENCE, "tok_id", "token", "label"]
+    paths = [f"p{i}" for i in range(len(names))]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
+    schema += "".join(f", {p} int" for p in paths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat, ends = crf_kernels.list_values(batch.column("slots"))
-            slots = flat.to_numpy(zero_copy_only=False).reshape(-1, n_slots)
-            ends = ends // n_slots
-            for first, last in crf_kernels.pieces(np.diff(ends), TOKENS_AT_ONCE):
-                part, bounds = slots[ends[first] : ends[last]], ends[first : last + 1] - ends[first]
-                found = [
-                    pa.ListArray.from_arrays(
-                        pa.array(bounds, pa.int32()),
-                        pa.array(crf_kernels.best_paths(crf_kernels.emissions(part, w), t, np.diff(bounds))),
-                    )
-                    for w, t in shared.value
-                ]
-                rows = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in keep], *found], [*keep, *paths])
-
-    decoded = packed.select(*keep, "slots").mapInArrow(run, schema)
-    rows = decoded.select(
-        *SENTENCE,
-        F.explode(F.arrays_zip("tok_ids", "tokens", "labels", *paths)).alias("_r"),
-    )
+        for table, lengths in crf_kernels.whole_sentences(batches, TOKENS_AT_ONCE):
+            slots = [table[c].to_numpy() for c in slot_names]
+            out = table.select(keep)
+            for p, (state, trans) in zip(paths, shared.value, strict=True):
+                best = crf_kernels.best_paths(crf_kernels.emissions(slots, state), trans, lengths)
+                out = out.append_column(p, pa.array(best))
+            yield from out.to_batches()
+
     tag_of = [
-        F.element_at(F.array(*[F.lit(x) for x in models[k].labels]), F.col(f"_r.{p}") + 1).alias(f"pred_{k}")
+        F.element_at(F.array(*[F.lit(x) for x in models[k].labels]), F.col(p) + 1).alias(f"pred_{k}")
         for k, p in zip(names, paths, strict=True)
     ]
-    return rows.select(
-        *SENTENCE, F.col("_r.tok_ids").alias("tok_id"), F.col("_r.tokens").alias("token"),
-        F.col("_r.labels").alias("truth"), *tag_of,
+    return rows.select(*keep, "starts", *slot_names).mapInArrow(run, schema).select(
+        *SENTENCE, "tok_id", "token", F.col("label").alias("truth"), *tag_of
     )
 
 
@@ -324,8 +298,7 @@ def predict_tags(
 ) -> DataFrame:
     """(doc_id, sent_id, tok_id, token, truth, pred): tag tokens with one model, or vote over several."""
     buckets = next(iter(models.values())).buckets
-    packed, n = pack_sentences(tokens, config, lexicons, buckets, label)
-    tagged = crf_predict(packed, n, models)
+    tagged = crf_predict(sequence_rows(tokens, config, lexicons, buckets, label), models)
     return tagged.select(
         *SENTENCE, "tok_id", "token", "truth", vote({k: f"pred_{k}" for k in models}).alias("pred")
     )
@@ -346,8 +319,7 @@ class SearchResult:
 
 
 def crf_search(
-    packed: DataFrame,
-    n_slots: int,
+    rows: DataFrame,
     folds: int,
     draws: int = SEARCH_DRAWS,
     max_iter: int = MAX_ITERATIONS,
@@ -359,9 +331,7 @@ def crf_search(
     c1 is exponential with scale 0.5 and c2 with scale 0.05. A sentence's fold
     is a hash of its key. The best pair is fitted on everything.
     """
-    packed = packed.withColumn("_fold", F.pmod(F.xxhash64(*SENTENCE), F.lit(folds))).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    rows = rows.withColumn("_fold", F.pmod(F.xxhash64(*SENTENCE), F.lit(folds))).persist(StorageLevel.MEMORY_AND_DISK)
     rng = np.random.default_rng(seed)
     tried = []
     try:
@@ -369,11 +339,11 @@ def crf_search(
             c1, c2 = rng.exponential(0.5), rng.exponential(0.05)
             scores = []
             for fold in range(folds):
-                model = crf_fit(packed.where(F.col("_fold") != fold), n_slots, buckets, c1, c2, max_iter)
-                held = crf_predict(packed.where(F.col("_fold") == fold), n_slots, {"m": model})
+                model = crf_fit(rows.where(F.col("_fold") != fold), buckets, c1, c2, max_iter)
+                held = crf_predict(rows.where(F.col("_fold") == fold), {"m": model})
                 scores.append(weighted_f1(held.withColumnRenamed("pred_m", "pred")).first()[0])
             tried.append((float(c1), float(c2), float(np.mean(scores))))
         c1, c2, _ = max(tried, key=lambda t: t[2])
-        return SearchResult(tried, crf_fit(packed, n_slots, buckets, c1, c2, max_iter))
+        return SearchResult(tried, crf_fit(rows, buckets, c1, c2, max_iter))
     finally:
-        packed.unpersist()
+        rows.unpersist()

@@ -146,7 +146,7 @@ def group_to_list(
     task ever gathers an unbounded list.
     """
     ranked = rank_in_key(df.select(key, value, *[c for c in order if c not in (key, value)]), [key], order, "_rank")
-    pairs = F.array_sort(F.collect_list(F.struct("_rank", value)))
+    pairs = F.sort_array(F.collect_list(F.struct("_rank", value)))
     return (
         ranked.withColumn("chunk", F.floor(F.col("_rank") / chunk_rows).cast("int"))
         .groupBy(key, "chunk")

@@ -114,7 +114,7 @@ def delimiter_rows(df: DataFrame, keys: Sequence[str] = ("doc_id",), order: str
 
 def sentence_rows(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: str, out: str = "_rows") -> DataFrame:
     """(keys, _rows): the rows of each sentence as one array in order."""
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, *cols))).alias(out))
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, *cols))).alias(out))
 
 
 def closed_runs(
@@ -160,7 +160,7 @@ def rebuild_words(
 
 def words_to_lines(words: DataFrame, keys: Sequence[str] = SENTENCE) -> DataFrame:
     """(keys, value): the words of each line joined by one space."""
-    parts = F.array_sort(F.collect_list(F.struct("word_id", "word")))
+    parts = F.sort_array(F.collect_list(F.struct("word_id", "word")))
     return words.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda p: p["word"]), " ").alias("value"))
 
 
@@ -230,7 +230,7 @@ def head_tail_words(scored: DataFrame, parts: int = 5, precision: int = 3) -> Da
     A document with fewer than ``parts`` words has all of them in ``head`` and a
     null ``tail``. A group is the vocabulary of one document cell.
     """
-    by_score = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("o"), "word", "score")))
+    by_score = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("o"), "word", "score")))
     pairs = F.transform("_w", lambda p: F.struct(p["word"].alias("word"), p["score"].alias("score")))
     n = F.size("_w")
     cut = F.floor(n / parts).cast("int")

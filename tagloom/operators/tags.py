@@ -83,7 +83,7 @@ def entity_phrases(tokens: DataFrame, tag: str = "ner", sep: str = " ") -> DataF
 def phrase_map(phrases: DataFrame) -> DataFrame:
     """(doc_id, ner_phrase): ``{"ENTITY##NER##COUNT": []}`` per document, keys in order."""
     key = F.concat_ws("##", "entity", "ner", F.col("cnt").cast("string"))
-    keys = F.array_sort(F.collect_set(key))
+    keys = F.sort_array(F.collect_set(key))
     empty = F.array().cast("array<string>")
     return phrases.groupBy("doc_id").agg(
         F.map_from_arrays(keys, F.transform(keys, lambda _: empty)).alias("ner_phrase")

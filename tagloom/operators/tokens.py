@@ -54,26 +54,18 @@ def char_bilou(lines: DataFrame, mode: str = "train") -> DataFrame:
     spaces, ``test`` at any white space. ``tok_id`` is the place in the stripped
     line.
     """
-    chars = F.split(strip_space("value"), "")
-    edge = F.array(F.lit(" "))
-    left = F.concat(edge, chars)
-    right = F.concat(F.slice(chars, F.lit(2), F.size(chars)), edge)
-    cells = F.arrays_zip(chars.alias("c"), F.slice(left, F.lit(1), F.size(chars)).alias("l"), right.alias("r"))
+    def gap(char: Column) -> Column:
+        return char == " " if mode == "train" else char.rlike(rf"^[{SPACE}]$")
 
-    def gap(c: str) -> Column:
-        col = F.col(f"_cell.{c}")
-        return col == " " if mode == "train" else col.rlike(rf"^[{SPACE}]$")
-
-    first, last = gap("l"), gap("r")
+    spelt = lines.select("doc_id", F.col("line_no").alias("sent_id"), F.split(strip_space("value"), "").alias("_chars"))
+    chars = spelt.select("doc_id", "sent_id", "_chars", F.posexplode("_chars").alias("tok_id", "token"))
+    first = F.coalesce(gap(F.get("_chars", F.col("tok_id") - 1)), F.lit(True))
+    last = F.coalesce(gap(F.get("_chars", F.col("tok_id") + 1)), F.lit(True))
     tag = (
-        F.when(first & last, F.when(is_punct_char(F.col("_cell.c")), OUTSIDE).otherwise("U-w"))
+        F.when(first & last, F.when(is_punct_char("token"), OUTSIDE).otherwise("U-w"))
         .when(first, "B-w").when(last, "L-w").otherwise("I-w")
     )
-    return (
-        lines.select("doc_id", F.col("line_no").alias("sent_id"), F.posexplode(cells).alias("tok_id", "_cell"))
-        .where(~gap("c"))
-        .select("doc_id", "sent_id", "tok_id", F.col("_cell.c").alias("token"), tag.alias("ner"))
-    )
+    return chars.where(~gap(F.col("token"))).select("doc_id", "sent_id", "tok_id", "token", tag.alias("ner"))
 
 
 def document_sentences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

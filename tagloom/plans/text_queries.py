@@ -387,7 +387,7 @@ def enrich_json(spark, d):
     # Read the emitted lines back, as their consumer would.
     schema = "doc_id LONG, DETAIL STRUCT<content: STRING, role: STRING, ner_phrase: MAP<STRING, ARRAY<STRING>>>"
     back = lines.select(F.from_json("value", schema).alias("r"))
-    keys = F.array_sort(F.map_keys("r.DETAIL.ner_phrase"))
+    keys = F.sort_array(F.map_keys("r.DETAIL.ner_phrase"))
     return back.where(F.size(keys) > 0).select(
         "r.doc_id", F.size(keys).cast("long").alias("n_phrases"), F.array_join(keys, "\n").alias("phrases"),
         "r.DETAIL.role", "r.DETAIL.content",

@@ -42,8 +42,8 @@ def train(
     c2: float = C2,
     max_iter: int = MAX_ITERATIONS,
 ) -> Tagger:
-    packed, n = crf.pack_sentences(tokens, config, lexicons, buckets)
-    return Tagger({name: crf.crf_fit(packed, n, buckets, c1, c2, max_iter)}, config, lexicons)
+    rows = crf.sequence_rows(tokens, config, lexicons, buckets)
+    return Tagger({name: crf.crf_fit(rows, buckets, c1, c2, max_iter)}, config, lexicons)
 
 
 def train_with_search(
@@ -58,8 +58,8 @@ def train_with_search(
     seed: int = 0,
 ) -> tuple[Tagger, list[tuple[float, float, float]]]:
     """The tagger of the best random draw, and all draws as (c1, c2, score)."""
-    packed, n = crf.pack_sentences(tokens, config, lexicons, buckets)
-    found = crf.crf_search(packed, n, folds, draws, max_iter, buckets, seed)
+    rows = crf.sequence_rows(tokens, config, lexicons, buckets)
+    found = crf.crf_search(rows, folds, draws, max_iter, buckets, seed)
     return Tagger({name: found.best}, config, lexicons), found.draws
 
 

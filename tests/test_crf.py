@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import rows, tokens
 from pyspark.sql import functions as F
@@ -55,13 +56,22 @@ def test_best_paths_by_enumeration():
             assert tuple(got[end - n : end]) == best
 
 
-def test_observed_counts_and_pieces():
+def test_observed_counts():
     labels = np.array([0, 1, 1, 2, 0, 0])
     hot, moves = k.observed(labels, LENGTHS, 3)
     assert (hot.argmax(axis=1) == labels).all()
     assert moves.tolist() == [[1, 1, 0], [0, 1, 0], [0, 0, 0]]
-    assert [list(p) for p in k.pieces(np.array([5, 5, 5, 5]), 10)] == [[0, 1], [1, 3], [3, 4]]
-    assert [list(p) for p in k.pieces(np.array([5]), 10)] == [[0, 1]]
+
+
+def test_sentences_are_regrouped_whole():
+    starts = [True, False, True, False, False, False, True, True, False]
+    table = pa.table({"starts": starts, "n": range(9)})
+    for size in (1, 2, 4, 9):
+        for limit in (1, 3, 5, 100):
+            parts = list(k.whole_sentences(table.to_batches(max_chunksize=size), limit))
+            assert [x for t, _ in parts for x in t["n"].to_pylist()] == list(range(9))
+            assert [int(x) for _, lengths in parts for x in lengths] == [2, 4, 1, 2]
+            assert all(t.num_rows == lengths.sum() for t, lengths in parts)
 
 
 def test_minimiser_finds_the_lasso_solution():
@@ -85,20 +95,19 @@ def tagger(spark, corpus):
 
 
 def test_spark_gradient_is_the_slope_of_the_loss(spark, corpus):
-    packed, n = crf.pack_sentences(char_bilou(corpus.where("doc_id < 5")), FeatureConfig(window=1), buckets=64)
-    packed = packed.persist()
-    labels = [r[0] for r in packed.select(F.explode("labels")).distinct().orderBy("col").collect()]
+    packed = crf.sequence_rows(char_bilou(corpus.where("doc_id < 5")), FeatureConfig(window=1), buckets=64).persist()
+    labels = sorted(r[0] for r in packed.select("label").distinct().collect())
     rng = np.random.default_rng(0)
     state, trans = rng.normal(size=(64, len(labels))), rng.normal(size=(len(labels), len(labels)))
-    z, grad, pairs = crf._counts(packed, labels, n, 64, (state, trans))
+    z, grad, pairs = crf._counts(packed, labels, 64, (state, trans))
     used = np.argwhere(grad > 0.5)[:2]
     for i, j in used:
         moved = state.copy()
         moved[i, j] += 1e-5
-        assert np.isclose((crf._counts(packed, labels, n, 64, (moved, trans))[0] - z) / 1e-5, grad[i, j], rtol=1e-3)
+        assert np.isclose((crf._counts(packed, labels, 64, (moved, trans))[0] - z) / 1e-5, grad[i, j], rtol=1e-3)
     moved = trans.copy()
     moved[0, 1] += 1e-5
-    assert np.isclose((crf._counts(packed, labels, n, 64, (state, moved))[0] - z) / 1e-5, pairs[0, 1], rtol=1e-3, atol=1e-4)
+    assert np.isclose((crf._counts(packed, labels, 64, (state, moved))[0] - z) / 1e-5, pairs[0, 1], rtol=1e-3, atol=1e-4)
     packed.unpersist()
 
 
