@@ -236,7 +236,9 @@ def crf_fit(
     Weights exist for every (feature, label) pair seen in training and for
     every pair of labels.
     """
-    rows = rows.select("label", "starts", *_slot_names(rows)).persist(StorageLevel.MEMORY_AND_DISK)
+    # One partition per core: a task emits a row per feature it saw, so fewer tasks shuffle less.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rows = rows.select("label", "starts", *_slot_names(rows)).coalesce(cores).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         labels = sorted(r[0] for r in rows.select("label").distinct().collect())
         _, counts, moves = _counts(rows, labels, buckets, None)

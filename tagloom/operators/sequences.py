@@ -194,19 +194,27 @@ def context_features(
     """Add ``previous{w}cur``, ``cur_next{w}`` for w ≤ window, ``BOS`` and ``EOS``.
 
     A joined run that would leave the sentence is null, and so is an edge mark
-    away from the edge. All columns share one window, so one sort serves them.
+    away from the edge. All columns share one window, so one sort serves them,
+    and each neighbour is looked up once.
     """
-    w = ordered(keys, order)
-    reach = range(1, max(window, 1) + 1)
-    before = {k: F.lag("token", k).over(w) for k in reach}
-    after = {k: F.lead("token", k).over(w) for k in reach}
+    reach = max(window, 1)
+    near = neighbours(df, reach, keys, order)
     cols = {}
     for k in range(1, window + 1):
-        cols[f"previous{k}cur"] = F.concat(*[before[j] for j in range(k, 0, -1)], F.col("token"))
-        cols[f"cur_next{k}"] = F.concat(F.col("token"), *[after[j] for j in range(1, k + 1)])
-    cols["BOS"] = F.when(before[1].isNull(), F.lit(True))
-    cols["EOS"] = F.when(after[1].isNull(), F.lit(True))
-    return df.withColumns(cols)
+        cols[f"previous{k}cur"] = F.concat(*[F.col(f"_before{j}") for j in range(k, 0, -1)], F.col("token"))
+        cols[f"cur_next{k}"] = F.concat(F.col("token"), *[F.col(f"_after{j}") for j in range(1, k + 1)])
+    cols["BOS"] = F.when(F.col("_before1").isNull(), F.lit(True))
+    cols["EOS"] = F.when(F.col("_after1").isNull(), F.lit(True))
+    return near.select(*df.columns, *[c.alias(n) for n, c in cols.items()])
+
+
+def neighbours(df: DataFrame, reach: int, keys: Sequence[str] = SENTENCE, order: str = "tok_id") -> DataFrame:
+    """Add ``_before{k}`` and ``_after{k}``, the tokens up to ``reach`` places away."""
+    w = ordered(keys, order)
+    places = range(1, reach + 1)
+    return df.withColumns(
+        {f"_before{k}": F.lag("token", k).over(w) for k in places} | {f"_after{k}": F.lead("token", k).over(w) for k in places}
+    )
 
 
 def positional_zip(
