@@ -48,7 +48,7 @@ def lines_of(col: Column | str) -> Column:
 
 def words_of(col: Column | str) -> Column:
     """Words between runs of white space."""
-    return F.filter(F.split(as_col(col), rf"[{SPACE}]+"), lambda w: w != "")
+    return F.array_remove(F.split(as_col(col), rf"[{SPACE}]+"), "")
 
 
 def is_blank(col: Column | str) -> Column:
