@@ -117,8 +117,8 @@ def rstrip_chars(col: Column | str, chars: str) -> Column:
 
 def remove_punc(col: Column | str) -> Column:
     """Lower case without numeric and punctuation characters; spaces stay."""
-    # Plain letters and blanks leave the class at once; the long one is only tried on the rest.
-    pattern = rf"[[^A-Za-z \x{{C0}}-\x{{24F}}]&&[{ASCII_PUNCT}{CJK_PUNCT}{numeric_class()}]]"
+    # The look-ahead rules out plain letters and blanks before the long class is tried.
+    pattern = rf"(?![A-Za-z \n\x{{C0}}-\x{{24F}}])[{ASCII_PUNCT}{CJK_PUNCT}{numeric_class()}]"
     return F.lower(F.regexp_replace(as_col(col), pattern, ""))
 
 
