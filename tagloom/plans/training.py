@@ -17,7 +17,8 @@ from tagloom.operators.sequences import rebuild_words, sentence_ids, words_to_li
 from tagloom.operators.tags import entity_phrases, keep_tag_types, phrase_map, remap_entities
 from tagloom.operators.tokens import char_bilou, sentence_tokens
 from tagloom.plans.recipes import enrich_records
-from tagloom.sources.readers import read_split_folder
+from tagloom.sources.readers import read_lines, read_split_folder
+from tagloom.sources.writers import write_lines
 
 
 @dataclass
@@ -97,6 +98,35 @@ def segment_lines(lines: DataFrame, tagger: Tagger, mode: str = "train") -> Data
     return words_to_lines(rebuild_words(tagged, "pred"))
 
 
+def file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, line_no, value) of text files; a file is a document."""
+    return read_lines(spark, path).withColumnRenamed("path", "doc_id")
+
+
+def segment_file(spark: SparkSession, path: str, tagger: Tagger, out: str, mode: str = "train") -> None:
+    """Cut the lines of text files into words and write them in order."""
+    write_lines(segment_lines(file_lines(spark, path), tagger, mode), out)
+
+
+def train_files(
+    spark: SparkSession,
+    train_path: str,
+    test_path: str,
+    config: FeatureConfig,
+    lexicons: DataFrame | None = None,
+    model_path: str | None = None,
+    out: str | None = None,
+    **options,
+) -> tuple[Tagger, DataFrame]:
+    """Train on segmented text files and score on others; optionally save the model and the segmented test lines."""
+    tagger = train(char_bilou(file_lines(spark, train_path)), config, lexicons, **options)
+    if model_path:
+        crf.save_model(spark, next(iter(tagger.models.values())), model_path)
+    if out:
+        segment_file(spark, test_path, tagger, out)
+    return tagger, validate(char_bilou(file_lines(spark, test_path)), tagger)
+
+
 def annotate_texts(docs: DataFrame, tagger: Tagger, sample: int | None = None, seed: int = 0) -> DataFrame:
     """(doc_id, sent_id, tok_id, token, ner, pos) with end rows; ``sample`` annotates that many texts only."""
     picked = docs if sample is None else sample_rows(docs, "doc_id", sample, seed)

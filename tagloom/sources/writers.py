@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from tagloom.constants import ROWS_PER_FILE
@@ -22,3 +24,8 @@ def write_chunked(df: DataFrame, path: str, rows: int = ROWS_PER_FILE, mode: str
 
 def write_text(df: DataFrame, path: str, column: str, mode: str = "errorifexists") -> None:
     df.select(column).write.mode(mode).text(path)
+
+
+def write_lines(lines: DataFrame, path: str, order: Sequence[str] = ("doc_id", "sent_id"), mode: str = "errorifexists") -> None:
+    """Text files whose lines, file after file, follow ``order``."""
+    write_text(lines.orderBy(*order), path, "value", mode)

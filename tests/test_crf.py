@@ -151,6 +151,29 @@ def test_training_from_a_folder(spark, tmp_path):
     assert {r["label"]: r["f1"] for r in scores.collect()} == {"COM": 1.0, "Total": 1.0}
 
 
+def test_training_from_text_files(spark, tmp_path):
+    words = ["ab", "cde", "f", "。"]
+    rng = np.random.default_rng(5)
+    text = [" ".join(rng.choice(words, size=6)) for _ in range(60)]
+    (tmp_path / "train.txt").write_text("\n".join(text), encoding="utf-8")
+    (tmp_path / "test.txt").write_text("\n".join(text[:7]), encoding="utf-8")
+    model, out = str(tmp_path / "m_words"), str(tmp_path / "out")
+    _, scores = tr.train_files(
+        spark, str(tmp_path / "train.txt"), str(tmp_path / "test.txt"), FeatureConfig(), model_path=model, out=out,
+        buckets=1 << 12, max_iter=25, c1=0.01, c2=0.01,
+    )
+    assert {r["label"]: r["f1"] for r in scores.collect()}["Total"] > 0.95
+    written = [x for f in sorted((tmp_path / "out").glob("part-*")) for x in f.read_text(encoding="utf-8").splitlines()]
+    assert written == text[:7]
+    assert crf.load_model(spark, model).labels == ["B-w", "I-w", "L-w", "O", "U-w"]
+
+
+def test_a_token_named_true_keeps_its_value(spark):
+    df = tokens(spark, [[("True", "O")]])
+    got = feature_table(feature_columns(df, FeatureConfig()), FeatureConfig()).first()
+    assert "current_original=True" in got["features"]
+
+
 def test_feature_text(spark):
     df = tokens(spark, [[("Ab", "U-COM"), ("1", "O")]]).withColumn("pos", F.lit("N"))
     table = feature_table(feature_columns(df, ENGLISH), ENGLISH).orderBy("tok_id").collect()
