@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, token_files, warc
+from tagloom.llm import bpe, decontaminate, exact_dedup, html_text, minmax_dedup, pii, substring_dedup, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), END_ID)
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 OP3 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest, html FROM p),
@@ -61,6 +67,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages"))
 
 
+@query("op4_personal_data")
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_table(spark, sf_dir, "documents"))
+
+
 OP5 = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS same FROM documents
@@ -75,6 +86,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+@query("op6_html_text")
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_text.main_texts(pages, html_text.train(pages))
+
+
 OP7 = r"""
 WITH dw AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -104,6 +121,48 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("longest")
 
 
+OP8 = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM dw WHERE len(w) >= 13),
+s AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 12), ' ')) AS h FROM x),
+late AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS least FROM s) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM late),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM dw),
+kept AS (
+  SELECT words.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY words.doc_id
+)
+SELECT dw.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM dw LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op8_substring_dedup", OP8)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), _pattern())
+
+
+OP10 = r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT u, v FROM both_ JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 85 * (a.n + b.n - k)),
+r AS (SELECT doc_id AS id, doc_id AS reach FROM dw UNION SELECT r.id, e.v FROM r JOIN e ON e.u = r.reach),
+c AS (SELECT id, min(reach) AS component_id FROM r GROUP BY id)
+SELECT dw.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, dw.doc_id = component_id AS kept
+FROM dw LEFT JOIN n USING (doc_id) JOIN c ON c.id = dw.doc_id
+"""
+
+
+@query("op10_minmax_dedup", OP10)
+def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_groups(_table(spark, sf_dir, "documents"))

@@ -7,6 +7,7 @@ from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagloom.session import ensure_checkpoint_dir
 
@@ -44,3 +45,19 @@ def row_slices(batch: pa.RecordBatch, column: str, limit: int):
         held += size
     if start < len(sizes):
         yield batch.slice(start)
+
+
+#: A group is hot if it holds more than one row in so many; so there are at most as many hot groups.
+HOT_SHARE = 1000
+
+
+def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Inner join of ``rows`` with the one row each key has in ``groups``, whose ``size`` counts the rows of the key.
+
+    Hot groups, at most HOT_SHARE of them, go by broadcast and leave the other join without large keys. Both tables are
+    read twice, so they should be stored.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) * HOT_SHARE > total
+    large = F.broadcast(groups.where(hot))
+    return rows.join(large, key).unionByName(rows.join(large.select(key), key, "left_anti").join(groups.where(~hot), key))
