@@ -44,7 +44,7 @@ def _can_follow(piece: bytes) -> bool:
     """Whether a piece encodes alike behind another: it starts with white space and does not end with it."""
     if not piece[:1].isspace() or piece.isspace():
         return False
-    return piece[-1] < 128 or not piece[-4:].decode("utf-8", "ignore")[-1:].isspace()
+    return not piece[-4:].decode("utf-8", "ignore")[-1:].isspace()
 
 
 def piece_encoder(tokenizer_file: str):
