@@ -6,6 +6,7 @@ import uuid
 from pathlib import PurePosixPath
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def open_store(path: str):
 
 def row_slices(batch: pa.RecordBatch, column: str, limit: int):
     """Cut a batch into runs of rows whose ``column`` holds about ``limit`` bytes; a longer row stands alone."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and held + size > limit:
