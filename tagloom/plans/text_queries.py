@@ -503,7 +503,7 @@ def weighted_f1(spark, d):
 # ---- term scores -----------------------------------------------------------------------
 
 _CLEAN = rf"regexp_replace(text, '[{ASCII_PUNCT}{CJK_PUNCT}{numeric_class()}]', '', 'g')"
-_TERMS = f"""terms AS (SELECT w AS word, count(*) AS tf, count(DISTINCT doc_id) AS df
+_TERMS = f"""terms AS MATERIALIZED (SELECT w AS word, count(*) AS tf, count(DISTINCT doc_id) AS df
   FROM (SELECT doc_id, unnest({inp.words_sql(f'lower({_CLEAN})')}) AS w FROM documents) GROUP BY 1)"""
 _RATIO, _PRODUCT = "tf::DOUBLE / df", "tf::DOUBLE * df"
 
