@@ -345,9 +345,12 @@ def _scored(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         matcher, weights = Matcher(model), np.array(model.weights)
         for batch in batches:
             for part in row_slices(batch, "text", SLICE_BYTES):
-                line = np.clip(_features(matcher, part.column("text")) @ weights + model.bias, -700, 700)
-                columns = [part.column(c) for c in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(1 / (1 + np.exp(-line)))], names=[*keep, "score"])
+                found = _features(matcher, part.column("text"))
+                if math.isinf(model.bias):  # nothing was learned
+                    scores = np.zeros(part.num_rows)
+                else:
+                    scores = 1 / (1 + np.exp(-np.clip(found @ weights + model.bias, -700, 700)))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores)], names=[*keep, "score"])
 
     schema = rows.select(*keep).schema.add("score", "double")
     return rows.select(*keep, "text").mapInArrow(run, schema)
