@@ -57,9 +57,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows are matched by id and hash, so a row that repeats the kept one in both stays beside it.
+    Rows are matched by id and hash, so a row that repeats the kept one in both stays beside it. The list of those that go
+    grows with the corpus, so it is not broadcast.
     """
     groups = exact_groups(docs, id_col, text_col).where(~F.col("kept"))
     gone = groups.select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_sha"))
     sha = F.unhex(F.sha2(normalised(docs[text_col]), 256))
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("gone_id")) & (sha == F.col("gone_sha")), "left_anti")
+    return docs.hint("merge").join(gone, docs[id_col].cast("long").eqNullSafe(F.col("gone_id")) & (sha == F.col("gone_sha")), "left_anti")

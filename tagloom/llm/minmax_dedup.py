@@ -7,10 +7,10 @@
 2. *Classes.* Documents with equal sets are one class, grouped before anything is compared.
 3. *First round.* In each bucket of a band the smallest class is the pivot and all others are compared with it. Pairs that
    hold give components.
-4. *Second round.* Buckets that still hold several components are compared across components: in squares of at most
-   ``SQUARE`` x ``SQUARE`` signatures, so a bucket of any size is cut into tasks of bounded size. Pairs whose signatures
-   agree in less than ``LEAST_AGREE`` of their values are left out (five standard deviations below 0.85), the rest is
-   confirmed on full sets. After that every linked pair of a bucket was compared or lies in one component already.
+4. *Second round.* Buckets whose other members still lie in several components are compared member by member, on full sets
+   again: a bucket is cut into parts of bounded size, and each pair of parts is one task's square. A task counts all
+   intersections of its square by a product of matrices and returns one row at most for each member, its smallest partner in
+   reach. After that every linked pair of a bucket was compared or lies in one component already.
 
 A group of copies costs one comparison for each member and band. Groups of over a thousandth of all rows are joined by
 broadcast (a thousand of them at most).
@@ -38,12 +38,13 @@ PERMUTATIONS = 40
 BAND = 4
 #: Linked: PERCENT * union size <= 100 * intersection size.
 PERCENT = 85
-LEAST_AGREE = 0.65
-SQUARE = 512
+#: Part of a bucket in the second round: members, and shingles of all of them.
+PART_ROWS, PART_SHINGLES = 512, 1 << 20
+_COLUMNS = 4096
 SLICE_BYTES = 4 << 20
 _CODES = byte_codes(b"\x20\x09\x0a\x0b\x0c\x0d", fold_case=True)
 _FACTORS = np.random.default_rng(7).integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SIGNED = pa.schema({"doc_id": pa.int64(), "n_shingles": pa.int64(), "set_hash": pa.binary(), "bands": pa.list_(pa.int64()), "signature": pa.binary()})
+_SIGNED = pa.schema({"doc_id": pa.int64(), "n_shingles": pa.int64(), "set_hash": pa.binary(), "bands": pa.list_(pa.int64())})
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,22 +88,21 @@ def _sign(part: pa.RecordBatch) -> pa.RecordBatch:
     place = np.full(rows, -1)
     place[filled] = np.arange(len(filled))
     lists = [bands[p].view(np.int64) if p >= 0 else None for p in place]
-    signatures = [values[p].tobytes() if p >= 0 else None for p in place]
     return pa.RecordBatch.from_arrays(
-        [part.column("doc_id"), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
+        [part.column("doc_id"), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
         schema=_SIGNED,
     )
 
 
 def signed(rows: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, set_hash, bands, signature`` of ``doc_id, text``."""
+    """``doc_id, n_shingles, set_hash, bands`` of ``doc_id, text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, "text", SLICE_BYTES):
                 yield _sign(part)
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, bands array<long>, signature binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, bands array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -124,7 +124,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 keep.append(100 * both >= PERCENT * (len(own) + len(known[1]) - both) and both > 0)
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(right, "v").join(left, "u").select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
+    # the texts of candidates grow with the corpus: they are shuffled at every size, never broadcast
+    both = pairs.join(right.hint("merge"), "v").join(left.hint("merge"), "u")
+    return both.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -144,29 +146,51 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs ``u, v`` of different components with like signatures, from ``band, doc_id, component, signature, n``.
-
-    ``n`` is the size of the bucket, which is cut into parts of about SQUARE members; each pair of parts is one group.
-    """
-    parts = F.ceil(F.col("n") / SQUARE).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), parts).cast("int")
-    cells = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+def _linked(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set the first one it reaches by links, as an index; sets are sorted and distinct."""
+    m = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    _, ids, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(m), sizes)
+    shared = often[ids] > 1
+    row, ids = row[shared], (np.cumsum(often > 1) - 1)[ids[shared]]
+    both = np.zeros((m, m), np.float32)
+    order = np.argsort(ids, kind="stable")
+    row, ids = row[order], ids[order]
+    for first in range(0, int(ids[-1]) + 1 if len(ids) else 0, _COLUMNS):
+        a, b = np.searchsorted(ids, (first, first + _COLUMNS))
+        grid = np.zeros((m, min(_COLUMNS, int(ids[-1]) + 1 - first)), np.float32)
+        grid[row[a:b], ids[a:b] - first] = 1
+        both += grid @ grid.T
+    links = (both > 0) & (100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both))
+    np.fill_diagonal(links, True)
+    label = np.arange(m)
+    while True:
+        lower = np.where(links, label[None, :], m).min(axis=1)
+        if (lower == label).all():
+            return label
+        label = lower
+
+
+def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``u, v`` that are linked directly or by others, from ``band, doc_id, component, n_shingles``."""
+    bulk = members.groupBy("band").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("bulk"))
+    parts = F.greatest(F.ceil(F.col("rows") / PART_ROWS), F.ceil(F.col("bulk") / PART_SHINGLES)).cast("int")
+    parts = bulk.select("band", parts.alias("parts"))
+    cells = members.join(parts, "band").withColumn("own", F.pmod(F.xxhash64("doc_id"), "parts").cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")})
 
     def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")
         ids, component = table["doc_id"].to_numpy(), table["component"].to_numpy()
-        values = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(len(ids), -1)
-        mine, cross = table["own"].to_numpy(), table["a"][0].as_py() != table["b"][0].as_py()
-        u, v = [], []
-        for i in range(len(ids)):
-            use = np.flatnonzero((ids > ids[i]) & (component != component[i]) & ((mine != mine[i]) if cross else True))
-            use = use[(values[use] == values[i]).mean(axis=1) >= LEAST_AGREE] if len(use) else use
-            u += [ids[i]] * len(use)
-            v += ids[use].tolist()
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+        found, cuts = shingles(table["text"])
+        label = _linked([np.unique(found[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+        new = component != component[label]
+        return pa.table({"u": ids[label][new], "v": ids[new]})
 
-    return cells.groupBy("band", "a", "b").applyInArrow(compare, "u long, v long").distinct()
+    full = cells.select("band", "a", "b", "doc_id", "component").join(texts.hint("merge"), "doc_id")
+    return full.groupBy("band", "a", "b").applyInArrow(compare, "u long, v long").distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,7 +208,7 @@ def _groups(rows: DataFrame) -> DataFrame:
     """The groups of ``doc_id, text`` whose ids differ, or are null."""
     marked = stored(signed(rows), "signatures")
     nodes = marked.where(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
-    one = F.min(F.struct("doc_id", "bands", "signature"))
+    one = F.min(F.struct("doc_id", "n_shingles", "bands"))
     classes = stored(nodes.groupBy("set_hash").agg(one.alias("one"), F.count("*").alias("n")).select("set_hash", "n", "one.*"), "classes")
     bands = classes.select("doc_id", F.explode("bands").alias("band"))
     buckets = stored(bands.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "buckets")
@@ -192,15 +216,15 @@ def _groups(rows: DataFrame) -> DataFrame:
 
     first = stored(members.where("pivot < doc_id").select(F.col("pivot").alias("u"), F.col("doc_id").alias("v")).distinct(), "pairs")
     involved = members.select("doc_id").distinct()
-    texts = stored(rows.join(involved, "doc_id", "left_semi"), "texts")
+    texts = stored(rows.hint("merge").join(involved, "doc_id", "left_semi"), "texts")
     links = stored(confirmed(first, texts), "links")
     found = components(links)
 
-    state = members.where("n > 2").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    state = state.withColumn("component", F.coalesce("component", "doc_id"))
+    state = members.where("pivot < doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    state = stored(state.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")), "state")
     mixed = state.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-    rest = state.where("pivot < doc_id").join(mixed, "band").join(classes.select("doc_id", "signature"), "doc_id")
-    second = confirmed(_across(rest.select("band", "doc_id", "component", "signature", "n")), texts)
+    rest = stored(state.join(mixed, "band").join(classes.select("doc_id", "n_shingles"), "doc_id"), "rest")
+    second = _across(rest, texts)
     final = components(links.union(second))
     labels = classes.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "set_hash", "n", F.coalesce("component", "doc_id").alias("component_id")
@@ -211,6 +235,6 @@ def _groups(rows: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with all columns."""
+    """One document of each group, with all columns. The list of those that go grows with the corpus, so it is not broadcast."""
     gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("gone_id"), "left_anti")
+    return docs.hint("merge").join(gone, docs[id_col].cast("long") == F.col("gone_id"), "left_anti")

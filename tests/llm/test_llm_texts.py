@@ -39,9 +39,9 @@ def test_exact_runs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
-@pytest.mark.parametrize("square", [512, 2])
-def test_near_groups(spark, monkeypatch, square):
-    monkeypatch.setattr(minmax_dedup, "SQUARE", square)
+@pytest.mark.parametrize("part", [512, 2])
+def test_near_groups(spark, monkeypatch, part):
+    monkeypatch.setattr(minmax_dedup, "PART_ROWS", part)
     rng = random.Random(4)
     texts = odd_texts()
     chain = sentence(rng, 150).split()
