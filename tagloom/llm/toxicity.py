@@ -9,9 +9,10 @@ with one edit (from five letters on), stems exactly. Misspelled forms that clean
 
 **Score.** A hit inside quotation marks, or on a line quoted with ``>``, counts a quarter. The weights of hits are summed
 over the document and over windows of 50 words; a logistic regression on these sums gives the score. The
-lexicon comes from one half of the labelled sample and the regression from the other.
+lexicon comes from seven tenths of the labelled sample and the regression from the rest.
 
-Labels are learned from a sample of at most ``SAMPLE`` labelled rows, chosen by a hash of their id. Rows whose
+Labels are learned from a sample of at most ``SAMPLE`` labelled rows, chosen by a hash of their id; of texts that share the
+least value of one of three shingle permutations, near copies as a rule, one is an example, so copies lend no support. Rows whose
 crc32(id) mod 5 is 0 are held out and never learned from. Nothing but the text goes into a score.
 
 Defined cases: null and empty texts have no hits and get the score of a text without hits; without labels of both kinds
@@ -31,16 +32,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import row_slices
-from tagloom.llm.words import byte_codes, span_hashes, text_bytes, word_spans
+from tagloom.llm.shared import row_slices, stored
+from tagloom.llm.words import byte_codes, rolling, span_hashes, text_bytes, word_spans
 
 #: Bound of the labelled rows that are learned from.
-SAMPLE = 12_000
+SAMPLE = 20_000
 #: Bound of the lexicon.
 TERMS = 2_000
 SHORTEST, LONGEST, FUZZY_FROM = 4, 24, 5
-LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 4, 0.01, 3.0
+LEAST_DOCS, LEAST_SHARE, LEAST_ODDS, CHAIN = 4, 0.01, 3.0, 0.7
 WINDOW = 50
+SHINGLE = 5
 FUZZY_WEIGHT, QUOTED_WEIGHT = 0.5, 0.25
 QUOTE_BYTES = 200
 CACHE_WORDS = 2_000_000
@@ -208,11 +210,46 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _sample(labels: DataFrame, size: int) -> DataFrame:
-    """At most ``size`` labelled rows that are not held out, with the half they serve: 0 lexicon, 1 regression."""
+    """At most ``size`` labelled rows that are not held out."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     rows = rows.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
-    return chosen.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)))
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+
+
+def _least_shingles(examples: DataFrame) -> DataFrame:
+    """``key`` and the least values of three permutations of each text's shingles."""
+    factors = np.random.default_rng(13).integers(0, 1 << 63, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = np.zeros((batch.num_rows, 3), np.int64)
+            for i in range(batch.num_rows):
+                data, bounds = text_bytes(batch.column("text").slice(i, 1))
+                starts, ends, _ = word_spans(data, bounds, _CODES)
+                hashes = span_hashes(data, starts, ends, _CODES)
+                runs = rolling(hashes, SHINGLE) if len(hashes) >= SHINGLE else hashes
+                if len(runs):
+                    least[i] = [(runs * f).min().astype(np.int64) for f in factors]
+            columns = [batch.column("key"), *(pa.array(least[:, k]) for k in range(3))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "a", "b", "c"])
+
+    return examples.select("key", "text").mapInArrow(run, "key long, a long, b long, c long")
+
+
+def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """``text, toxic, use`` of the sample, one of each group of near copies; use 0: lexicon, 1: regression."""
+    found = docs.join(F.broadcast(_sample(labels, sample)), "doc_id")  # at most ``sample`` rows are broadcast
+    found = stored(found.withColumn("key", F.monotonically_increasing_id()), "examples")
+    seen: set[tuple[str, int]] = set()
+    kept = []
+    for row in sorted(_least_shingles(found).collect()):  # at most a row for each labelled text
+        marks = {("a", row.a), ("b", row.b), ("c", row.c)}
+        if not marks & seen:
+            kept.append((row.key,))
+        seen |= marks
+    kept = docs.sparkSession.createDataFrame(kept, "key long")
+    use = F.when(F.pmod(F.xxhash64("doc_id", "text"), F.lit(10)) < 7, 0).otherwise(1)
+    return found.join(F.broadcast(kept), "key").select("text", "toxic", use.alias("use"))
 
 
 def _prefix_counts(examples: DataFrame) -> DataFrame:
@@ -244,7 +281,7 @@ def _prefix_counts(examples: DataFrame) -> DataFrame:
 def choose_terms(counts: dict[str, int]) -> tuple[list[str], list[str]]:
     """Terms and stems out of the prefixes that passed, with their number of toxic documents.
 
-    From each shortest prefix on, the longest continuation that keeps 95 % of the documents is taken.
+    From each shortest prefix on, the longest continuation that keeps most of the documents at each letter is taken.
     """
     terms, stems = set(), set()
     follow: dict[str, list[str]] = {}
@@ -256,7 +293,7 @@ def choose_terms(counts: dict[str, int]) -> tuple[list[str], list[str]]:
         if len(p) > SHORTEST and p[:-1] in counts:
             continue
         while True:
-            longer = [q for q in follow.get(p, []) if counts[q] >= 0.95 * counts[p]]
+            longer = [q for q in follow.get(p, []) if counts[q] >= CHAIN * counts[p]]
             if not longer:
                 stems.add(p)
                 break
@@ -288,8 +325,8 @@ def fit_regression(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    examples = rows.join(F.broadcast(_sample(labels, sample)), "doc_id")  # at most ``sample`` rows are broadcast
-    first, second = examples.where("half = 0"), examples.where("half = 1")
+    examples = _examples(rows, labels, sample)
+    first, second = examples.where("use = 0"), examples.where("use = 1")
     size = {r["toxic"]: r["n"] for r in first.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
     if not toxic or not clean:
