@@ -156,6 +156,12 @@ def _broadcast_blocks(benchmark: DataFrame, item_col: str, text_col: str, window
     return blocks
 
 
+def _in_turn(blocks: list) -> Iterator[Probe]:
+    for block in blocks:
+        yield pickle.loads(block.value)
+        vars(block).pop("_value", None)  # keeps one block in memory
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     window: int = WINDOW, block_bytes: int = BLOCK_BYTES, columns: list[str] | None = None,
@@ -171,8 +177,7 @@ def contamination(
         one = [pickle.loads(blocks[0].value)] if len(blocks) == 1 else None
         for batch in batches:
             for part in row_slices(batch, "searched", SHARD_BYTES):
-                probes = iter(one) if one else (pickle.loads(b.value) for b in blocks)
-                verdict = _verdicts(probes, part.column("searched"), window)
+                verdict = _verdicts(iter(one) if one else _in_turn(blocks), part.column("searched"), window)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in inner), *verdict.columns], names=[*inner, *found])
 
     result = source.mapInArrow(run, StructType([*source.select(inner).schema.fields, *FOUND]))
