@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.shared import hashed_sample
+
 #: Bound of the pages whose texts are laid out anew, and layouts for each.
 SAMPLE = 300
 LAYOUTS = 3
@@ -319,8 +321,8 @@ def train(pages: DataFrame, sample: int = SAMPLE, html_col: str = "html") -> For
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    chosen = pages.select(F.col(html_col).cast("string").alias("html")).where("html <> ''")
-    chosen = chosen.orderBy(F.xxhash64("html"), "html").limit(sample)
+    chosen = pages.select("page_id", F.col(html_col).cast("string").alias("html")).where("html <> ''")
+    chosen = hashed_sample(chosen, sample).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -62,3 +62,16 @@ def hot_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFra
     hot = F.col(size) * HOT_SHARE > total
     large = F.broadcast(groups.where(hot))
     return rows.join(large, key).unionByName(rows.join(large.select(key), key, "left_anti").join(groups.where(~hot), key))
+
+
+def hashed_sample(rows: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` rows, those of least hash over all columns: the same ones in any order and partitioning.
+
+    Of a large table only hashes in the share that holds twice as many rows are sorted, so no task gets a share of each
+    partition that grows with their number.
+    """
+    key = F.xxhash64(*rows.columns)
+    total = rows.count()
+    if total > 4 * size:
+        rows = rows.where(key < -(1 << 63) + int(2 * size / total * (1 << 64)))
+    return rows.orderBy(key, *rows.columns).limit(size)

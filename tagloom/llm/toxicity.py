@@ -11,7 +11,7 @@ with one edit (from five letters on), stems exactly. Misspelled forms that clean
 over the document and over windows of 50 words; a logistic regression on these sums gives the score. The
 lexicon comes from seven tenths of the labelled sample and the regression from the rest.
 
-Labels are learned from a sample of at most ``SAMPLE`` labelled rows, chosen by a hash of their id; of texts that share the
+Labels are learned from a sample of at most ``SAMPLE`` labelled rows, chosen by a hash; of texts that share the
 least value of one of three shingle permutations, near copies as a rule, one is an example, so copies lend no support. Rows whose
 crc32(id) mod 5 is 0 are held out and never learned from. Nothing but the text goes into a score.
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import row_slices, stored
+from tagloom.llm.shared import hashed_sample, row_slices, stored
 from tagloom.llm.words import byte_codes, rolling, span_hashes, text_bytes, word_spans
 
 #: Bound of the labelled rows that are learned from.
@@ -213,7 +213,7 @@ def _sample(labels: DataFrame, size: int) -> DataFrame:
     """At most ``size`` labelled rows that are not held out."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     rows = rows.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    return hashed_sample(rows, size)
 
 
 def _least_shingles(examples: DataFrame) -> DataFrame:
