@@ -26,13 +26,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.shared import row_slices
 from tagloom.llm.units import PieceCache, encoded_segments
 from tagloom.llm.words import text_bytes
 
-TRANSITIONS = 400_000
-PAIRS = 1_000_000
+#: Bounds of what a worker keeps, some 100 MB in all.
+TRANSITIONS = 150_000
+PAIRS = 200_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 DECODE_STEP = 1 << 18
+SLICE_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -77,8 +80,8 @@ class Transducer:
         self.forget()
 
     def forget(self) -> None:
-        # a state: (trie node, token before the start or -1) of each open start, the earliest first, the root last
-        start = ((0, -1),)
+        # a state: trie node and token before the start (or -1) of each open start in turn, the earliest first, the root last
+        start = (0, -1)
         self.states: dict[tuple, int] = {start: 0}
         self.content: list[tuple] = [start]
         self.steps: list[dict[int, tuple[int, int, int]]] = [{}]
@@ -96,8 +99,9 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple[int, int, int]:
         alive, here, reach = [], -1, 0
-        for node, before in self.content[state]:
-            node = self.children[node].get(byte)
+        opened = self.content[state]
+        for k in range(0, len(opened), 2):
+            node, before = self.children[opened[k]].get(byte), opened[k + 1]
             if node is None:
                 continue
             token = self.token_at[node]
@@ -106,10 +110,10 @@ class Transducer:
             if self.children[node]:
                 if not alive:
                     reach = self.depth[node]
-                alive.append((node, before))
+                alive += (node, before)
         if here < 0:
             raise ValueError("the ranks lack a byte")
-        key = (*alive, (0, here))
+        key = (*alive, 0, here)
         to = self.states.get(key)
         if to is None:
             to = self.states[key] = len(self.content)
@@ -248,7 +252,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         using = codec(rank_file, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in row_slices(whole, "text", SLICE_BYTES)):
             out, held = [], []
             for _, ids, over in _walk(batch.column("text"), using):
                 held.append(ids)
@@ -267,7 +271,7 @@ def round_trips(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         using = codec(rank_file, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in row_slices(whole, "text", SLICE_BYTES)):
             sizes, ids_hash, text_hash = [], [], []
             count, a, b, stream = 0, hashlib.sha256(), hashlib.sha256(), Utf8Stream()
             for _, ids, over in _walk(batch.column("text"), using):

@@ -63,4 +63,4 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = exact_groups(docs, id_col, text_col).where(~F.col("kept"))
     gone = groups.select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_sha"))
     sha = F.unhex(F.sha2(normalised(docs[text_col]), 256))
-    return docs.hint("merge").join(gone, docs[id_col].cast("long").eqNullSafe(F.col("gone_id")) & (sha == F.col("gone_sha")), "left_anti")
+    return docs.hint("merge").join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]) & (sha == gone["gone_sha"]), "left_anti")

@@ -237,4 +237,4 @@ def _groups(rows: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, with all columns. The list of those that go grows with the corpus, so it is not broadcast."""
     gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.hint("merge").join(gone, docs[id_col].cast("long") == F.col("gone_id"), "left_anti")
+    return docs.hint("merge").join(gone, docs[id_col].cast("long") == gone["gone_id"], "left_anti")

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import work_folder
+from tagloom.llm.shared import row_slices, work_folder
 from tagloom.llm.units import PieceCache, encoded_segments
 from tagloom.llm.words import text_bytes
 
@@ -37,6 +37,7 @@ WRITE_OPTIONS = {
     "parquet.enable.dictionary": "true",
     "parquet.dictionary.page.size": str(1 << 20),
 }
+SLICE_BYTES = 4 << 20
 _CACHES: dict[str, PieceCache] = {}
 
 
@@ -99,7 +100,7 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, cache = TaskContext.get().partitionId(), 0, _cache(tokenizer_file)
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in row_slices(whole, "text", SLICE_BYTES)):
             data, bounds = text_bytes(batch.column("text"))
             held: list[np.ndarray] = []
             first = done = 0

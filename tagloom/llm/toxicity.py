@@ -45,6 +45,9 @@ WINDOW = 50
 SHINGLE = 5
 FUZZY_WEIGHT, QUOTED_WEIGHT = 0.5, 0.25
 QUOTE_BYTES = 200
+HELD_PREFIXES = 200_000
+#: Marks beyond ASCII that stick to words.
+MARKS = "“”«»„‘’…–—¿¡"
 CACHE_WORDS = 2_000_000
 SLICE_BYTES = 4 << 20
 STATES = 100_000
@@ -141,7 +144,7 @@ class Matcher:
         self.keys, self.kinds = np.empty(0, np.uint64), np.empty(0, np.int8)
 
     def kind(self, word: str) -> int:
-        word = word.lower().strip("“”«»„‘’…–—¿¡")
+        word = word.lower().strip(MARKS)
         found = self.automaton.match(word) if len(word) >= SHORTEST else None
         if found is None or (found[1] and word in self.model.harmless):
             return 0
@@ -255,24 +258,28 @@ def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 def _prefix_counts(examples: DataFrame) -> DataFrame:
     """Documents by prefix, toxic and clean; a whole word ends in ``$``."""
 
+    def table(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
+        keys = sorted(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in (counts[1], counts[0]))]
+        return pa.RecordBatch.from_arrays(columns, names=["prefix", "toxic", "clean"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
             for i, toxic in enumerate(batch.column("toxic").to_pylist()):
                 data, bounds = text_bytes(batch.column("text").slice(i, 1))
                 starts, ends, _ = word_spans(data, bounds, _CODES)
-                words = {data[a:b].tobytes().decode("utf-8", "replace").lower().strip("“”«»„‘’…–—¿¡") for a, b in zip(starts, ends)}
+                words = {data[a:b].tobytes().decode("utf-8", "replace").lower().strip(MARKS) for a, b in zip(starts, ends)}
                 found = set()
                 for word in words:
                     found.update(word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1))
                     if SHORTEST <= len(word) <= LONGEST:
                         found.add(word + "$")
                 counts[toxic].update(found)
-            keys = sorted(counts[0].keys() | counts[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array([counts[1][k] for k in keys], pa.int64()), pa.array([counts[0][k] for k in keys], pa.int64())],
-                names=["prefix", "toxic", "clean"],
-            )
+                if len(counts[0]) + len(counts[1]) > HELD_PREFIXES:
+                    yield table(counts)
+                    counts = (Counter(), Counter())
+        yield table(counts)
 
     parts = examples.select("text", "toxic").mapInArrow(run, "prefix string, toxic long, clean long")
     return parts.groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -343,7 +350,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
             data, bounds = text_bytes(batch.column("text"))
             starts, ends, _ = word_spans(data, bounds, _CODES)
             near = np.flatnonzero(matcher.of(data, starts, ends) == 2)
-            found = {data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace").lower().strip("“”«»„‘’…–—¿¡") for i in near}
+            found = {data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace").lower().strip(MARKS) for i in near}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["form"])
 
     # forms at one edit from a term, in clean rows of the sample: bounded by the sample

@@ -13,8 +13,8 @@ import numpy as np
 
 from tagloom.llm.words import byte_codes, span_hashes
 
-SEGMENT = 1 << 21
-CACHE_ENTRIES = 1_500_000
+SEGMENT = 1 << 20
+CACHE_ENTRIES = 500_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 # White space beyond ASCII ends in one of these pairs of bytes at most: second last byte as listed, last one over 127.
