@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import row_slices
+from tagloom.llm.shared import row_slices, text_batches
 from tagloom.llm.units import PieceCache, encoded_segments
 from tagloom.llm.words import text_bytes
 
@@ -263,7 +263,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return text_batches(rows).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def round_trips(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,4 +289,4 @@ def round_trips(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "do
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, RESULT)
+    return text_batches(rows).mapInArrow(run, RESULT)

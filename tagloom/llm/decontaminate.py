@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from tagloom.llm.shared import row_slices
+from tagloom.llm.shared import row_slices, text_batches
 from tagloom.llm.words import byte_codes, span_hashes, text_bytes, word_spans
 
 WINDOW = 10
@@ -171,20 +171,25 @@ def contamination(
     columns = docs.columns if columns is None else columns
     found = [f.name for f in FOUND]
     inner = [f"c{i}" for i in range(len(columns))]  # clashing names do no harm
-    source = docs.select(*[F.col(c).alias(i) for c, i in zip(columns, inner)], F.col(text_col).alias("searched"))
+    sent = [F.col(c).alias(i) for c, i in zip(columns, inner)]
+    place = columns.index(text_col) if text_col in columns else len(sent)  # the text goes to Python once
+    source = docs.select(*sent, *([] if text_col in columns else [F.col(text_col).alias("searched")]))
+    searched = source.columns[place]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = [pickle.loads(blocks[0].value)] if len(blocks) == 1 else None
         for batch in batches:
-            for part in row_slices(batch, "searched", SHARD_BYTES):
-                verdict = _verdicts(iter(one) if one else _in_turn(blocks), part.column("searched"), window)
+            for part in row_slices(batch, searched, SHARD_BYTES):
+                verdict = _verdicts(iter(one) if one else _in_turn(blocks), part.column(searched), window)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in inner), *verdict.columns], names=[*inner, *found])
 
-    result = source.mapInArrow(run, StructType([*source.select(inner).schema.fields, *FOUND]))
+    result = text_batches(source).mapInArrow(run, StructType([*source.select(inner).schema.fields, *FOUND]))
     return result.select(*[F.col(i).alias(c) for i, c in zip(inner, columns)], *found)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The clean rows of ``docs`` with their columns."""
-    judged = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    return contamination(judged, benchmark, columns=["row"]).where(~F.col("contaminated")).select("row.*")
+    names = docs.columns
+    plain = docs.toDF(*[f"k{i}" for i in range(len(names))])  # clashing names do no harm
+    marked = contamination(plain, benchmark, text_col=f"k{names.index('text')}")
+    return marked.where("NOT contaminated").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(names)])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import hot_join, row_slices, stored
+from tagloom.llm.shared import hot_join, row_slices, stored, text_batches
 from tagloom.llm.words import byte_codes, inside_rows, mix, rolling, span_hashes, text_bytes, word_spans
 
 SHINGLE = 5
@@ -102,7 +102,7 @@ def signed(rows: DataFrame) -> DataFrame:
             for part in row_slices(batch, "text", SLICE_BYTES):
                 yield _sign(part)
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, bands array<long>")
+    return text_batches(rows).mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, bands array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tagloom.session import ensure_checkpoint_dir
 
+TEXT_ROWS = 1000
+
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared checkpoint folder, as a URI or path that Spark opens."""
@@ -19,6 +21,18 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, after setting the rows of an Arrow batch in its session to TEXT_ROWS at most.
+
+    Both ends of the connection to a Python worker hold whole batches, which the default of 10,000 rows makes large for texts.
+    """
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the lineage ends there."""
     path = work_folder(df.sparkSession, name)
@@ -35,9 +49,10 @@ def open_store(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else PurePosixPath(path).as_posix())
 
 
-def row_slices(batch: pa.RecordBatch, column: str, limit: int):
-    """Cut a batch into runs of rows whose ``column`` holds about ``limit`` bytes; a longer row stands alone."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+def row_slices(batch: pa.RecordBatch, texts: str | pa.Array, limit: int):
+    """Cut a batch into runs of rows whose ``texts``, a column or its name, hold about ``limit`` bytes; a longer row stands alone."""
+    texts = batch.column(texts) if isinstance(texts, str) else texts
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and held + size > limit:

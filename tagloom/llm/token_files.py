@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import row_slices, work_folder
+from tagloom.llm.shared import row_slices, text_batches, work_folder
 from tagloom.llm.units import PieceCache, encoded_segments
 from tagloom.llm.words import text_bytes
 
@@ -122,7 +122,7 @@ def write_tokens(
                 before += sum(len(x) + 1 for x in held)
                 yield out
 
-    rows.mapInArrow(encode, FILE_SCHEMA).write.options(**WRITE_OPTIONS).parquet(path)
+    text_batches(rows).mapInArrow(encode, FILE_SCHEMA).write.options(**WRITE_OPTIONS).parquet(path)
 
 
 def _block(batch: pa.RecordBatch, first: int, parts: list[np.ndarray], part: int, before: int, end_id: int) -> pa.RecordBatch:

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import hashed_sample, row_slices, stored
+from tagloom.llm.shared import hashed_sample, row_slices, stored, text_batches
 from tagloom.llm.words import byte_codes, rolling, span_hashes, text_bytes, word_spans
 
 #: Bound of the labelled rows that are learned from.
@@ -241,7 +241,7 @@ def _least_shingles(examples: DataFrame) -> DataFrame:
 
 def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """``text, toxic, use`` of the sample, one of each group of near copies; use 0: lexicon, 1: regression."""
-    found = docs.join(F.broadcast(_sample(labels, sample)), "doc_id")  # at most ``sample`` rows are broadcast
+    found = text_batches(docs).join(F.broadcast(_sample(labels, sample)), "doc_id")  # at most ``sample`` rows are broadcast
     found = stored(found.withColumn("key", F.monotonically_increasing_id()), "examples")
     seen: set[tuple[str, int]] = set()
     kept = []
@@ -375,33 +375,32 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return _scored(rows, model, ["doc_id"]).select(
+    return _scored(rows, model, ["doc_id"], lambda part: part.column("text")).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     )
 
 
-def _scored(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``rows`` and ``score``, from ``text``."""
+def _scored(rows: DataFrame, model: Model, keep: list[str], text_of: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """The columns ``keep`` of ``rows`` and ``score``; ``text_of`` takes the texts out of a batch."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         matcher, weights = Matcher(model), np.array(model.weights)
-        for batch in batches:
-            for part in row_slices(batch, "text", SLICE_BYTES):
-                found = _features(matcher, part.column("text"))
-                if math.isinf(model.bias):  # nothing was learned
-                    scores = np.zeros(part.num_rows)
-                else:
-                    scores = 1 / (1 + np.exp(-np.clip(found @ weights + model.bias, -700, 700)))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores)], names=[*keep, "score"])
+        for part in (part for whole in batches for part in row_slices(whole, text_of(whole), SLICE_BYTES)):
+            found = _features(matcher, text_of(part))
+            if math.isinf(model.bias):  # nothing was learned
+                scores = np.zeros(part.num_rows)
+            else:
+                scores = 1 / (1 + np.exp(-np.clip(found @ weights + model.bias, -700, 700)))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores)], names=[*keep, "score"])
 
     schema = rows.select(*keep).schema.add("score", "double")
-    return rows.select(*keep, "text").mapInArrow(run, schema)
+    return text_batches(rows).mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score under 0.5, with their columns."""
     model = train(docs, labels)
-    judged = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
-    return _scored(judged, model, ["row"]).where("score < 0.5").select("row.*")
+    whole = docs.select(F.struct(*docs.columns).alias("row"))
+    return _scored(whole, model, ["row"], lambda part: part.column("row").field("text")).where("score < 0.5").select("row.*")
