@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tagloom.llm import bpe, decontaminate, exact_dedup, minmax_dedup, toxicity
 from tagloom.llm.shared import stored
 
+#: Near copies share at least so many hundredths of their five-word shingles.
+NEAR_PERCENT = 80
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -24,7 +26,7 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minmax_dedup.drop_near_copies(docs)
+    return minmax_dedup.drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Near copies by min-max hashing.
 
-1. *Signatures.* A document's set holds its distinct five-word shingles as 64-bit hashes. Under each of 40 permutations
-   both the smallest and the largest value are kept: 80 values from 40 evaluations, each of which agrees for two sets with
-   probability equal to their similarity. Four values make a band, 20 bands in all. At a similarity of 0.85 no band agrees
-   in 4 of 10 million cases; what is linked is always decided on full sets.
+1. *Signatures.* A document's set holds its distinct five-word shingles as 64-bit hashes. Under each permutation both the
+   smallest and the largest value are kept: two values from one evaluation, each of which agrees for two sets with
+   probability equal to their similarity. Four values make a band. There are as many bands as it takes that at the asked
+   similarity no band agrees in 4 of 10 million cases: 20 (40 permutations) for 0.85, 28 (56) for 0.80. What is linked is
+   always decided on full sets.
 2. *Classes.* Documents with equal sets are one class, grouped before anything is compared.
 3. *First round.* In each bucket of a band the smallest class is the pivot and all others are compared with it. Pairs that
    hold give components.
@@ -23,6 +24,7 @@ component, and stay; an empty table gives no rows. Extra columns are kept by :fu
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,19 +36,29 @@ from tagloom.llm.shared import hot_join, row_slices, stored, text_batches
 from tagloom.llm.words import byte_codes, inside_rows, mix, rolling, span_hashes, text_bytes, word_spans
 
 SHINGLE = 5
-PERMUTATIONS = 40
 BAND = 4
-#: Linked: PERCENT * union size <= 100 * intersection size.
+#: Linked: percent * union size <= 100 * intersection size.
 PERCENT = 85
+#: Share of the pairs at the asked similarity that may meet in no band.
+MISSED = 4e-7
 #: Part of a bucket in the second round: members, and shingles of all of them.
 PART_ROWS, PART_SHINGLES = 512, 1 << 20
 _COLUMNS = 4096
 SLICE_BYTES = 4 << 20
 _CODES = byte_codes(b"\x20\x09\x0a\x0b\x0c\x0d", fold_case=True)
-_FACTORS = np.random.default_rng(7).integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SIGNED = pa.schema({"doc_id": pa.int64(), "n_shingles": pa.int64(), "set_hash": pa.binary(), "bands": pa.list_(pa.int64())})
 
 
+def band_count(percent: int) -> int:
+    """Bands that leave at most MISSED of the pairs at this similarity without a common one."""
+    return max(1, math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** BAND)))) if percent < 100 else 1
+
+
+def _factors(bands: int) -> np.ndarray:
+    """An odd factor for each permutation; each makes two values."""
+    return np.random.default_rng(7).integers(0, 1 << 63, bands * BAND // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all rows, repeats included, and the number of them before each row."""
     data, bounds = text_bytes(column)
@@ -64,18 +76,18 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return found[order], np.searchsorted(row[order], np.arange(len(words)))
 
 
-def _sign(part: pa.RecordBatch) -> pa.RecordBatch:
+def _sign(part: pa.RecordBatch, factors: np.ndarray) -> pa.RecordBatch:
     hashes, cuts = shingles(part.column("text"))
     rows = len(cuts) - 1
     filled = np.flatnonzero(np.diff(cuts) > 0)
     starts = cuts[filled]
-    values = np.empty((len(filled), 2 * PERMUTATIONS), np.uint32)
+    values = np.empty((len(filled), 2 * len(factors)), np.uint32)
     if len(filled):
-        for k, factor in enumerate(_FACTORS):
+        for k, factor in enumerate(factors):
             turned = hashes * factor
             values[:, 2 * k] = np.minimum.reduceat(turned, starts) >> np.uint64(32)
             values[:, 2 * k + 1] = np.maximum.reduceat(turned, starts) >> np.uint64(32)
-    bands = np.zeros((len(filled), 2 * PERMUTATIONS // BAND), np.uint64)
+    bands = np.zeros((len(filled), 2 * len(factors) // BAND), np.uint64)
     for k in range(bands.shape[1]):
         key = np.full(len(filled), k + 1, np.uint64)
         for j in range(BAND):
@@ -94,18 +106,19 @@ def _sign(part: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def signed(rows: DataFrame) -> DataFrame:
+def signed(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, set_hash, bands`` of ``doc_id, text``."""
+    factors = _factors(band_count(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, "text", SLICE_BYTES):
-                yield _sign(part)
+                yield _sign(part, factors)
 
     return text_batches(rows).mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``u, v`` whose full sets link; ``texts`` has ``doc_id, text`` of all that occur."""
     left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
@@ -121,7 +134,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     known = (u, np.unique(shingles(texts_u.slice(i, 1))[0]))
                 own = np.unique(sets[cuts[i] : cuts[i + 1]])
                 both = len(np.intersect1d(known[1], own, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(own) + len(known[1]) - both) and both > 0)
+                keep.append(100 * both >= percent * (len(own) + len(known[1]) - both) and both > 0)
             yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     # the texts of candidates grow with the corpus: they are shuffled at every size, never broadcast
@@ -146,7 +159,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _linked(sets: list[np.ndarray]) -> np.ndarray:
+def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set the first one it reaches by links, as an index; sets are sorted and distinct."""
     m = len(sets)
     sizes = np.array([len(x) for x in sets])
@@ -162,7 +175,7 @@ def _linked(sets: list[np.ndarray]) -> np.ndarray:
         grid = np.zeros((m, min(_COLUMNS, int(ids[-1]) + 1 - first)), np.float32)
         grid[row[a:b], ids[a:b] - first] = 1
         both += grid @ grid.T
-    links = (both > 0) & (100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both))
+    links = (both > 0) & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both))
     np.fill_diagonal(links, True)
     label = np.arange(m)
     while True:
@@ -172,7 +185,7 @@ def _linked(sets: list[np.ndarray]) -> np.ndarray:
         label = lower
 
 
-def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
+def _across(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs ``u, v`` that are linked directly or by others, from ``band, doc_id, component, n_shingles``."""
     bulk = members.groupBy("band").agg(F.count("*").alias("rows"), F.sum("n_shingles").alias("bulk"))
     parts = F.greatest(F.ceil(F.col("rows") / PART_ROWS), F.ceil(F.col("bulk") / PART_SHINGLES)).cast("int")
@@ -185,7 +198,7 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
         table = table.sort_by("doc_id")
         ids, component = table["doc_id"].to_numpy(), table["component"].to_numpy()
         found, cuts = shingles(table["text"])
-        label = _linked([np.unique(found[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+        label = _linked([np.unique(found[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], percent)
         new = component != component[label]
         return pa.table({"u": ids[label][new], "v": ids[new]})
 
@@ -193,20 +206,20 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     return full.groupBy("band", "a", "b").applyInArrow(compare, "u long, v long").distinct()
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``; texts link from a similarity of ``percent`` on."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     named = rows.where(F.col("doc_id").isNotNull())
     if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return _groups(rows)
+        return _groups(rows, percent)
     one = named.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    without = signed(rows.where(F.col("doc_id").isNull())).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    return named.select("doc_id").join(_groups(one), "doc_id").union(without)
+    without = signed(rows.where(F.col("doc_id").isNull()), percent).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
+    return named.select("doc_id").join(_groups(one, percent), "doc_id").union(without)
 
 
-def _groups(rows: DataFrame) -> DataFrame:
+def _groups(rows: DataFrame, percent: int) -> DataFrame:
     """The groups of ``doc_id, text`` whose ids differ, or are null."""
-    marked = stored(signed(rows), "signatures")
+    marked = stored(signed(rows, percent), "signatures")
     nodes = marked.where(F.col("doc_id").isNotNull() & F.col("set_hash").isNotNull())
     one = F.min(F.struct("doc_id", "n_shingles", "bands"))
     classes = stored(nodes.groupBy("set_hash").agg(one.alias("one"), F.count("*").alias("n")).select("set_hash", "n", "one.*"), "classes")
@@ -217,14 +230,14 @@ def _groups(rows: DataFrame) -> DataFrame:
     first = stored(members.where("pivot < doc_id").select(F.col("pivot").alias("u"), F.col("doc_id").alias("v")).distinct(), "pairs")
     involved = members.select("doc_id").distinct()
     texts = stored(rows.hint("merge").join(involved, "doc_id", "left_semi"), "texts")
-    links = stored(confirmed(first, texts), "links")
+    links = stored(confirmed(first, texts, percent), "links")
     found = components(links)
 
     state = members.where("pivot < doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     state = stored(state.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")), "state")
     mixed = state.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
     rest = stored(state.join(mixed, "band").join(classes.select("doc_id", "n_shingles"), "doc_id"), "rest")
-    second = _across(rest, texts)
+    second = _across(rest, texts, percent)
     final = components(links.union(second))
     labels = classes.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "set_hash", "n", F.coalesce("component", "doc_id").alias("component_id")
@@ -234,7 +247,7 @@ def _groups(rows: DataFrame) -> DataFrame:
     return grouped.select("doc_id", "n_shingles", "component_id").union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One document of each group, with all columns. The list of those that go grows with the corpus, so it is not broadcast."""
-    gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = near_groups(docs, id_col, text_col, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.hint("merge").join(gone, docs[id_col].cast("long") == gone["gone_id"], "left_anti")
