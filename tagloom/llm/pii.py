@@ -2,7 +2,8 @@
 
 1. *Seeds.* Four fixed patterns with checks (octets, Luhn digit, number of digits) find email addresses, IP addresses, card
    and phone numbers with their places. These always stay.
-2. *Candidates.* Looser shapes of the same four kinds are located where no seed lies.
+2. *Candidates.* Looser shapes of the same four kinds are located where no seed lies. They have checks of their own: the Luhn
+   digit for cards and the number of digits for phones; IPv6 addresses and written-out email addresses are whole by shape.
 3. *Patterns.* The two words before a seed or candidate are its lexical pattern. Spark keeps the graph of patterns and
    instances (the strings) as rows ``kind, pattern, instance, places``, and scores it in rounds: a pattern's score is the
    share of its places whose instance is believed, an instance's score is that of the best pattern that has enough
@@ -19,6 +20,8 @@ without two words before them are not judged; an empty table gives no rows. Colu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +92,13 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _check(kind: str):
-    return lambda x: _valid(kind, x["instance"])
+def _valid_loose(kind: str, match: Column) -> Column:
+    """As :func:`_valid` for loose shapes, whose addresses are IPv6 and have no octets."""
+    return F.lit(True) if kind == "ip" else _valid(kind, match)
+
+
+def _check(kind: str, valid: Callable[[str, Column], Column]):
+    return lambda x: valid(kind, x["instance"])
 
 
 def _placed(pieces: str, found: str) -> Column:
@@ -109,20 +117,20 @@ def _placed(pieces: str, found: str) -> Column:
     return F.when(F.size(found) > 0, scan).otherwise(empty)
 
 
-def _located(rows: DataFrame, patterns: dict[str, str], needs: dict[str, str], prefix: str) -> DataFrame:
+def _located(rows: DataFrame, patterns: dict[str, str], needs: dict[str, str], valid: Callable[[str, Column], Column], prefix: str) -> DataFrame:
     """Adds a column ``{prefix}_{kind}`` of places for each kind, those that pass its check."""
     found = rows.withColumns({f"f_{k}": _matches(F.col("text"), p, needs.get(k)) for k, p in patterns.items()})
     cut = found.withColumns(
         {f"p_{k}": F.when(F.size(f"f_{k}") > 0, F.split("text", p, -1)).otherwise(F.array().cast("array<string>")) for k, p in patterns.items()}
     )
-    placed = cut.withColumns({f"{prefix}_{k}": F.filter(_placed(f"p_{k}", f"f_{k}"), _check(k)) for k in patterns})
+    placed = cut.withColumns({f"{prefix}_{k}": F.filter(_placed(f"p_{k}", f"f_{k}"), _check(k, valid)) for k in patterns})
     return placed.drop(*[f"{x}_{k}" for x in "fp" for k in patterns])
 
 
 def locate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``row, doc_id`` and the places ``base_*`` and ``loose_*`` of every row; stored, so ``row`` is fixed."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    placed = _located(_located(rows, BASE, NEEDS, "base"), LOOSE, LOOSE_NEEDS, "loose")
+    placed = _located(_located(rows, BASE, NEEDS, _valid, "base"), LOOSE, LOOSE_NEEDS, _valid_loose, "loose")
     apart = {
         f"loose_{k}": F.filter(
             f"loose_{k}", lambda x: ~F.exists(F.concat(*[f"base_{b}" for b in KINDS]), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
