@@ -7,7 +7,7 @@ documents by prefix; the driver gets the few prefixes that pass and keeps the lo
 intersection of the trie with the Levenshtein automata of the word, determinised as far as words need it. Terms match
 with one edit (from five letters on), stems exactly. Misspelled forms that clean labelled documents hold are left out.
 
-**Score.** A hit inside quotation marks, or on a line quoted with ``>``, counts a quarter. The weights of hits are summed
+**Score.** A hit inside quotation marks, or on a line quoted with ``>``, counts a quarter; its whole line is judged. The weights of hits are summed
 over the document and over windows of 50 words; a logistic regression on these sums gives the score. The
 lexicon comes from seven tenths of the labelled sample and the regression from the rest.
 
@@ -44,7 +44,6 @@ LEAST_DOCS, LEAST_SHARE, LEAST_ODDS, CHAIN = 4, 0.01, 3.0, 0.7
 WINDOW = 50
 SHINGLE = 5
 FUZZY_WEIGHT, QUOTED_WEIGHT = 0.5, 0.25
-QUOTE_BYTES = 200
 HELD_PREFIXES = 200_000
 #: Marks beyond ASCII that stick to words.
 MARKS = "“”«»„‘’…–—¿¡"
@@ -177,6 +176,48 @@ def quoted(left: str, right: str) -> bool:
     return any(left.rfind(a) > left.rfind(b) and b in right for a, b in _PAIRS.items())
 
 
+def _places(data: np.ndarray, mark: str) -> np.ndarray:
+    """Where ``mark`` starts in UTF-8 bytes."""
+    code = mark.encode()
+    at = np.flatnonzero(data[: len(data) - len(code) + 1] == code[0])
+    for k in range(1, len(code)):
+        at = at[data[at + k] == code[k]]
+    return at
+
+
+def _cited(data: np.ndarray, low: np.ndarray, high: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """:func:`quoted` for the places ``starts`` to ``ends`` of the rows ``low`` to ``high``, each on its whole line.
+
+    Marks are located once for all places and looked up by bisection, so a long line costs no more than its bytes.
+    """
+    breaks = _places(data, "\n")
+    edges = np.concatenate([[-1], breaks, [len(data)]])
+    first = np.maximum(low, edges[np.searchsorted(breaks, starts)] + 1)
+    last = np.minimum(high, edges[np.searchsorted(breaks, ends) + 1])
+
+    def between(marks: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.searchsorted(marks, b) - np.searchsorted(marks, a)
+
+    def latest(marks: np.ndarray) -> np.ndarray:
+        """The last mark on the line before each place, or -1."""
+        at = np.append(-1, marks)[np.searchsorted(marks, starts)]
+        return np.where(at >= first, at, -1)
+
+    marks = _places(data, '"')
+    cited = (between(marks, first, starts) % 2 == 1) & (between(marks, ends, last) > 0)
+    for a, b in _PAIRS.items():
+        closing = _places(data, b)
+        cited |= (latest(_places(data, a)) > latest(closing)) & (between(closing, ends, last) > 0)
+    marks = _places(data, ">")
+    lines, line = np.unique(first, return_inverse=True)
+    sign = np.append(marks, len(data))[np.searchsorted(marks, lines)]  # the first '>' behind each line's start
+    inside = sign[line] < starts
+    for k in np.unique(line[inside]):
+        if data[lines[k] : sign[k]].tobytes().decode("utf-8", "ignore").strip():
+            sign[k] = len(data)
+    return cited | (sign[line] < starts)
+
+
 def _features(matcher: Matcher, column: pa.Array) -> np.ndarray:
     """FEATURES columns for each row: hits, misspelled hits, quoted ones, the best window, the share of words."""
     data, bounds = text_bytes(column)
@@ -188,10 +229,7 @@ def _features(matcher: Matcher, column: pa.Array) -> np.ndarray:
     if not len(hits):
         return out
     row = np.searchsorted(words, hits, side="right") - 1
-    cited = np.empty(len(hits), bool)
-    for n, (i, r) in enumerate(zip(hits, row)):
-        a, b = max(bounds[r], starts[i] - QUOTE_BYTES), min(bounds[r + 1], ends[i] + QUOTE_BYTES)
-        cited[n] = quoted(data[a : starts[i]].tobytes().decode("utf-8", "ignore"), data[ends[i] : b].tobytes().decode("utf-8", "ignore"))
+    cited = _cited(data, bounds[row], bounds[row + 1], starts[hits], ends[hits])
     loose = kinds[hits] == 2
     weight = np.where(loose, FUZZY_WEIGHT, 1.0) * np.where(cited, QUOTED_WEIGHT, 1.0)
     np.add.at(out[:, 0], row[~loose & ~cited], 1)
