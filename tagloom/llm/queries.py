@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, html_text, minmax_dedup, pii, substring_dedup, token_files, toxicity, warc
+from tagloom.llm import bpe, decontaminate, exact_dedup, html_text, minmax_dedup, pii, substring_dedup, token_files, toxicity, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -166,3 +166,8 @@ FROM dw LEFT JOIN n USING (doc_id) JOIN c ON c.id = dw.doc_id
 @query("op10_minmax_dedup", OP10)
 def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_groups(_table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
