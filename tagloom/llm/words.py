@@ -1,34 +1,25 @@
 """Split and hash the words of many texts at once, on the UTF-8 bytes of an Arrow column.
 
-A word's hash is ``sum(code[byte] * BASE**i) mod 2**64``, then mixed. Sums over a block come from one running
-sum, so no step looks at single words. ``code`` is a table of 256 random numbers; letters that compare as
-equal share a number, and 0 marks delimiters.
+A word is hashed eight bytes at a time, each block mixed into what came before; all words take a step together, so no loop
+looks at single words but for those of over LONG bytes, which a cryptographic hash takes. A table of 256 letters
+says which bytes compare as equal, and marks delimiters with 0.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15
-BLOCK = 1 << 20
+LONG = 64
 _MASK = (1 << 64) - 1
-_CODES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TABLES: list[np.ndarray] = []
-
-
-def _powers() -> list[np.ndarray]:
-    if not _TABLES:
-        for factor in (BASE, pow(BASE, -1, 1 << 64)):
-            steps = np.full(BLOCK, factor, np.uint64)
-            steps[0] = 1
-            _TABLES.append(np.cumprod(steps, dtype=np.uint64))
-    return _TABLES
 
 
 def byte_codes(delimiters: bytes = b"", fold_case: bool = False) -> np.ndarray:
-    """The code of each byte; ``fold_case`` gives A-Z the codes of a-z."""
-    codes = _CODES.copy()
+    """A letter for each byte, 0 for delimiters; ``fold_case`` gives A-Z the letters of a-z."""
+    codes = np.arange(1, 257, dtype=np.uint16)
     if fold_case:
         codes[65:91] = codes[97:123]
     codes[list(delimiters)] = 0
@@ -59,28 +50,27 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Hashes of the spans ``data[starts[i]:ends[i]]``, which are in order and do not overlap."""
-    powers, inverses = _powers()
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        base = int(starts[i])
-        j = int(np.searchsorted(ends, base + BLOCK, side="right"))
-        if j <= i:  # one span longer than a block
-            total = 0
-            for k in range(base, int(ends[i]), BLOCK):
-                part = codes[data[k : min(k + BLOCK, int(ends[i]))]]
-                total += int((part * powers[: len(part)]).sum(dtype=np.uint64)) * pow(BASE, k - base, 1 << 64)
-            out[i] = total & _MASK
-            i += 1
-            continue
-        values = codes[data[base : int(ends[j - 1])]]
-        values *= powers[: len(values)]
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values, out=sums[1:])
-        first = starts[i:j] - base
-        np.multiply(sums[ends[i:j] - base] - sums[first], inverses[first], out=out[i:j])
-        i = j
-    return mix(out)
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    first, last = int(starts[0]), int(ends[-1])
+    letters = np.zeros(last - first + 8, np.uint8)
+    letters[: last - first] = codes.astype(np.uint8)[data[first:last]]  # 256 becomes 0: no byte of UTF-8 is 255
+    blocks = np.ndarray((last - first + 1,), "<u8", letters, 0, (1,))  # the eight bytes from each place on
+    at, left = starts - first, ends - starts
+    out = mix(left.astype(np.uint64) * np.uint64(BASE) + np.uint64(0x632BE59BD9B4E019))
+    for i in np.flatnonzero(left > LONG):
+        word = letters[at[i] : at[i] + left[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    todo = np.flatnonzero(left <= LONG)
+    at, left = at[todo], left[todo]
+    while len(todo):
+        block = blocks[at]
+        short = left < 8
+        block[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        out[todo] = mix(out[todo] ^ block)
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    return out
 
 
 def word_spans(data: np.ndarray, bounds: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ import pytest
 from llm_cases import no_docs, odd_docs, odd_texts
 
 from tagloom.llm import bpe, token_files, units
-from tagloom.llm.words import BLOCK, byte_codes, span_hashes, text_bytes, word_spans
+from tagloom.llm.words import LONG, byte_codes, span_hashes, text_bytes, word_spans
 
 public = pytest.importorskip("public_tokenizers")
 JSON, RANKS = public.path("byte_bpe_50k.json"), public.path("byte_bpe_multi_50k.tiktoken")
@@ -151,9 +151,28 @@ def test_round_trips(spark, encoding):
 
 def test_word_hashes_of_long_words():
     codes = byte_codes(b" ")
-    long = "y" * (2 * BLOCK + 17)
+    long = "y" * (2 * LONG + 17)
     data, bounds = text_bytes(pa.array([f"ab {long} ab", None, long, "ab"]))
     starts, ends, words = word_spans(data, bounds, codes)
     found = span_hashes(data, starts, ends, codes)
     assert words.tolist() == [0, 3, 3, 4, 5]
     assert found[0] == found[2] == found[4] and found[1] == found[3] != found[0]
+
+
+def thue_morse(swap):
+    """Words of 1024 letters whose sums of powers are equal modulo 2**64 for any odd base."""
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(1024))
+
+
+def test_word_hashes_differ():
+    rng = np.random.default_rng(0)
+    words = {thue_morse(0), thue_morse(1), "A", "a", "aa", "a" * 8, "a" * 9, "a" * 16, "a" * LONG, "a" * (LONG + 1), "\x00", "\x00\x00", "é", "ÿ"}
+    words |= {"".join(rng.choice(list("ab"), rng.integers(1, 40))) for _ in range(20_000)}
+    words = sorted(words)
+    for fold in (False, True):
+        codes = byte_codes(b" ", fold_case=fold)
+        data, bounds = text_bytes(pa.array([" ".join(words), " ".join(words[::-1])]))
+        starts, ends, _ = word_spans(data, bounds, codes)
+        found = span_hashes(data, starts, ends, codes)
+        assert (found[: len(words)] == found[len(words) :][::-1]).all()
+        assert len(set(found.tolist())) == len(words) - fold  # A and a are one
