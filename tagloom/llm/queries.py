@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, html_text, minmax_dedup, pii, substring_dedup, token_files, toxicity, warc, whitening
+from tagloom.llm import bpe, decontaminate, exact_dedup, html_text, minmax_dedup, ngram_join, pii, substring_dedup, token_files, toxicity, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,3 +171,16 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_whitening")
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+OP12 = (
+    OP10.replace("list_slice(w, i, i + 4)", "list_slice(w, i, i + 2)")
+    .replace("greatest(len(w) - 4, 1)", "greatest(len(w) - 2, 1)")
+    .replace(">= 85 *", ">= 90 *")
+    .replace(", dw.doc_id = component_id AS kept", "")
+)
+
+
+@query("op12_ngram_join", OP12)
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(_table(spark, sf_dir, "documents"))

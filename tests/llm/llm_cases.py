@@ -67,12 +67,12 @@ def plain_exact(rows):
     return out
 
 
-def plain_near(rows):
+def plain_near(rows, percent=85, size=5):
     """``doc_id, text`` with different ids to ``doc_id: (n_shingles, component)``."""
     sets = {}
     for i, t in rows:
         words = re.findall(SPACE, fold(t))
-        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+        sets[i] = {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
     parent = {i: i for i in sets}
 
     def root(i):
@@ -84,7 +84,7 @@ def plain_near(rows):
     for n, a in enumerate(ids):
         for b in ids[n + 1 :]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {i: (len(sets[i]), root(i)) for i in ids}
