@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagloom.llm import bpe, decontaminate, exact_dedup, html_text, minmax_dedup, ngram_join, pii, substring_dedup, token_files, toxicity, warc, whitening
+from tagloom.llm import bpe, decontaminate, exact_dedup, html_text, minmax_dedup, ngram_join, pii, spelling, substring_dedup, token_files, toxicity, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,3 +184,44 @@ OP12 = (
 @query("op12_ngram_join", OP12)
 def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"))
+
+
+# crc32 bit by bit; runs of under six letters give no words
+OP13 = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS r FROM documents) WHERE length(r) >= 6
+), often AS (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT doc_id, run, k, list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: unicode(c)::BIGINT) AS points FROM often
+), bits AS (
+  SELECT doc_id, run, k, flatten(list_transform(
+    flatten(list_transform(points, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END)),
+    lambda b: [b & 1, (b >> 1) & 1, (b >> 2) & 1, (b >> 3) & 1, (b >> 4) & 1, (b >> 5) & 1, (b >> 6) & 1, (b >> 7) & 1])) AS bits FROM bytes
+), sums AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, bits),
+    lambda c, b: CASE WHEN xor(c & 1, b) = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END), 4294967295::BIGINT) AS h FROM bits
+), made AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, k FROM sums
+), words AS (SELECT word, sum(k)::BIGINT AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+gaps AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word
+), best AS (SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS r FROM near),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.other_n >= 5 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 5 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word AND b.r = 1
+), chain AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.next
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL
+"""
+
+
+@query("op13_spelling_variants", OP13)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))

@@ -27,7 +27,7 @@ def sql():
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
@@ -47,7 +47,7 @@ def test_pipeline(spark):
     left = [(r.doc_id, r.text) for r in docs.join(toxicity.score(docs, model), "doc_id").where("predicted = 0").collect()]
     texts = dict(left)
     left = [(r[0], texts[r[0]]) for r in plain_exact(left) if r[3]]
-    left = [(i, texts[i]) for i, (_, component) in plain_near(left).items() if i == component]
+    left = [(i, texts[i]) for i, (_, component) in plain_near(left, corpus_pipeline.NEAR_PERCENT).items() if i == component]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
     left = [(r[0], texts[r[0]]) for r in plain_leaks(left, items) if not r[5]]
     encoding = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=bpe.read_ranks(public.path(corpus_pipeline.RANK_FILE)), special_tokens={})
