@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,8 +78,10 @@ def news_tokens(docs: DataFrame, k: int, seed: int = 0) -> DataFrame:
     return sentence_tokens(sample_rows(cleaned, "doc_id", k, seed))
 
 
-def enrich_records(records: DataFrame, phrases: DataFrame, col: str, id_col: str = "doc_id") -> DataFrame:
-    """(value): each record as a JSON line with ``ner_phrase`` inside its nested column.
+def enrich_records(
+    records: DataFrame, phrases: DataFrame, col: str, id_col: str = "doc_id", keep: Sequence[str] = ()
+) -> DataFrame:
+    """(keep…, value): each record as a JSON line with ``ner_phrase`` inside its nested column.
 
     ``phrases`` is (doc_id, ner_phrase). A top-level ``content`` copy is left out;
     the nested one stays, and so do all columns but a helper id that starts with
@@ -88,4 +92,4 @@ def enrich_records(records: DataFrame, phrases: DataFrame, col: str, id_col: str
     joined = records.join(found, F.col(id_col) == F.col("_found"), "left")
     nested = F.col(col).withField("ner_phrase", F.coalesce("ner_phrase", empty))
     names = [c for c in records.columns if c != "content" and not c.startswith("_")]
-    return joined.withColumn(col, nested).select(F.to_json(F.struct(*names)).alias("value"))
+    return joined.withColumn(col, nested).select(*keep, F.to_json(F.struct(*names)).alias("value"))

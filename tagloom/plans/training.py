@@ -150,9 +150,14 @@ def record_phrases(
 
 
 def annotate_records(
-    records: DataFrame, tagger: Tagger, col: str = CONTENT_COLUMN, remap: DataFrame | None = None, sep: str = " "
+    records: DataFrame,
+    tagger: Tagger,
+    col: str = CONTENT_COLUMN,
+    remap: DataFrame | None = None,
+    sep: str = " ",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(value): every record as a JSON line with the entities of its nested ``content``.
+    """(keep…, value): every record as a JSON line with the entities of its nested ``content``.
 
     Records are known by a hash of their text: copies are tagged once, and each
     still gets its own line.
@@ -161,4 +166,4 @@ def annotate_records(
     known = records.withColumn("_id", F.sha2(text, 256))
     docs = known.select(F.col("_id").alias("doc_id"), text.alias("text")).dropDuplicates(["doc_id"])
     phrases = record_phrases(docs, tagger, remap, sep)
-    return enrich_records(known, phrases, col, "_id")
+    return enrich_records(known, phrases, col, "_id", keep)

@@ -3,11 +3,13 @@
 A tagger orders tokens by row number, which a streaming plan does not offer, so
 each micro-batch runs the batch job inside ``foreachBatch``. Output is written
 to a folder named after the batch: a batch that runs again after a failure
-overwrites its own folder, so every message is delivered once.
+overwrites its own folder, so every message is delivered once. Between queues,
+:func:`annotate_queue` answers each record once and then deletes it.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
@@ -18,6 +20,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tagloom.constants import CONTENT_COLUMN, POLL_SECONDS
 from tagloom.plans.training import Tagger, annotate_records
+from tagloom.sources import message_queue as mq
+from tagloom.streaming.delivery import DELAY, deliver_once
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -74,6 +78,46 @@ def annotate_stream(
     return writer.trigger(**trigger).start()
 
 
+def queue_answer(
+    tagger: Tagger, schema: T.StructType | str, col: str = CONTENT_COLUMN, remap: DataFrame | None = None
+) -> Callable[[DataFrame], DataFrame]:
+    """Turn (message_id, body) into (message_id, value), the record of the body with its entities.
+
+    A body that is no JSON record, or has no content, comes back as an empty record, so nothing is lost without a trace.
+    """
+
+    def answer(batch: DataFrame) -> DataFrame:
+        record = F.from_json("body", schema).alias("r")
+        records = batch.select(F.col("message_id").alias("_message_id"), record).select("_message_id", "r.*")
+        lines = annotate_records(records, tagger, col, remap, keep=["_message_id"])
+        return lines.withColumnRenamed("_message_id", "message_id")
+
+    return answer
+
+
+def annotate_queue(
+    spark: SparkSession,
+    in_queue: str,
+    out_queue: str,
+    tagger: Tagger,
+    schema: T.StructType | str,
+    checkpoint: str,
+    col: str = CONTENT_COLUMN,
+    remap: DataFrame | None = None,
+    delay: str | None = DELAY,
+    available_now: bool = False,
+    poll_seconds: float = POLL_SECONDS,
+    files_per_batch: int = mq.FILES_PER_BATCH,
+) -> StreamingQuery:
+    """Receive messages, answer each once, then delete it; with several models in ``tagger`` their votes decide."""
+    # with availableNow Spark asks a source once how far to go, so it must take all at once
+    messages = mq.receive(spark, in_queue, 0 if available_now else poll_seconds, sys.maxsize if available_now else files_per_batch)
+    answer = queue_answer(tagger, schema, col, remap)
+    return deliver_once(
+        messages, answer, out_queue, checkpoint, delay=delay, available_now=available_now, poll_seconds=poll_seconds
+    )
+
+
 def annotate_file(
     spark: SparkSession,
     path: str,
