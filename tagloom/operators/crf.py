@@ -25,10 +25,9 @@ from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.constants import C1, C2, END_POS, END_TOKEN, MAX_ITERATIONS, OUTSIDE, SEARCH_DRAWS
+from tagloom.constants import C1, C2, END_POS, END_TOKEN, MAX_ITERATIONS, OUTSIDE
 from tagloom.operators import crf_kernels
 from tagloom.operators.features import FeatureConfig, feature_columns, hashed_slots
-from tagloom.operators.metrics import weighted_f1
 from tagloom.operators.sequences import SENTENCE
 from tagloom.operators.tags import vote
 
@@ -193,39 +192,66 @@ def _pseudo_gradient(w: np.ndarray, grad: np.ndarray, c1: float) -> np.ndarray:
     return np.where(w > 0, up, np.where(w < 0, down, at_zero))
 
 
+class Descent:
+    """Orthant-wise L-BFGS that asks for values instead of computing them, so several can share one pass over the data."""
+
+    def __init__(self, w: np.ndarray, c1: float, max_iter: int, tolerance: float = 1e-5) -> None:
+        self.w, self.c1, self.max_iter, self.tolerance = w, c1, max_iter, tolerance
+        self.losses: list[float] = []
+        self._asking = self._run()
+        self.asked: np.ndarray | None = next(self._asking)  # where the value and the gradient are wanted, None at the end
+
+    @property
+    def steps(self) -> int:
+        return max(0, len(self.losses) - 1)
+
+    def tell(self, value: float, grad: np.ndarray) -> None:
+        """The smooth part of the loss and its gradient at the place that was asked for."""
+        try:
+            self.asked = self._asking.send((value, grad))
+        except StopIteration:
+            self.asked = None
+
+    def _run(self):
+        value, grad = yield self.w
+        self.losses.append(value + self.c1 * np.abs(self.w).sum())
+        memory: list[tuple[np.ndarray, np.ndarray]] = []
+        for _ in range(self.max_iter):
+            w = self.w
+            pseudo = _pseudo_gradient(w, grad, self.c1)
+            norm = np.linalg.norm(pseudo)
+            if norm <= self.tolerance * max(1.0, np.linalg.norm(w)):
+                return
+            d = _direction(pseudo, memory)
+            d[d * pseudo >= 0] = 0.0
+            if not d.any():
+                d = -pseudo
+            orthant = np.where(w != 0, np.sign(w), -np.sign(pseudo))
+            rate = 1.0 if memory else 1.0 / norm
+            for _ in range(20):
+                new = w + rate * d
+                if self.c1 > 0:
+                    new[new * orthant < 0] = 0.0
+                new_value, new_grad = yield new
+                loss = new_value + self.c1 * np.abs(new).sum()
+                if loss <= self.losses[-1] + 1e-4 * (pseudo @ (new - w)):
+                    break
+                rate *= 0.5
+            else:
+                return
+            s, y = new - w, new_grad - grad
+            if s @ y > 1e-10:
+                memory = [*memory[-(MEMORY - 1) :], (s, y)]
+            self.w, grad = new, new_grad
+            self.losses.append(loss)
+
+
 def minimise(smooth, w: np.ndarray, c1: float, max_iter: int, tolerance: float = 1e-5) -> tuple[np.ndarray, list[float]]:
     """Orthant-wise L-BFGS over ``smooth(w) -> (value, gradient)`` plus c1·‖w‖₁."""
-    value, grad = smooth(w)
-    losses = [value + c1 * np.abs(w).sum()]
-    memory: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(max_iter):
-        pseudo = _pseudo_gradient(w, grad, c1)
-        norm = np.linalg.norm(pseudo)
-        if norm <= tolerance * max(1.0, np.linalg.norm(w)):
-            break
-        d = _direction(pseudo, memory)
-        d[d * pseudo >= 0] = 0.0
-        if not d.any():
-            d = -pseudo
-        orthant = np.where(w != 0, np.sign(w), -np.sign(pseudo))
-        rate = 1.0 if memory else 1.0 / norm
-        for _ in range(20):
-            new = w + rate * d
-            if c1 > 0:
-                new[new * orthant < 0] = 0.0
-            new_value, new_grad = smooth(new)
-            loss = new_value + c1 * np.abs(new).sum()
-            if loss <= losses[-1] + 1e-4 * (pseudo @ (new - w)):
-                break
-            rate *= 0.5
-        else:
-            break
-        s, y = new - w, new_grad - grad
-        if s @ y > 1e-10:
-            memory = [*memory[-(MEMORY - 1) :], (s, y)]
-        w, grad = new, new_grad
-        losses.append(loss)
-    return w, losses
+    descent = Descent(w, c1, max_iter, tolerance)
+    while descent.asked is not None:
+        descent.tell(*smooth(descent.asked))
+    return descent.w, descent.losses
 
 
 def crf_fit(
@@ -312,40 +338,3 @@ def restore_ends(tagged: DataFrame) -> DataFrame:
         *SENTENCE, "tok_id", F.lit(END_TOKEN).alias("token"), F.lit(OUTSIDE).alias("ner"), F.lit(END_POS).alias("pos")
     )
     return tagged.unionByName(ends, allowMissingColumns=True)
-
-
-@dataclass
-class SearchResult:
-    draws: list[tuple[float, float, float]]  # c1, c2, mean score over folds
-    best: CrfModel
-
-
-def crf_search(
-    rows: DataFrame,
-    folds: int,
-    draws: int = SEARCH_DRAWS,
-    max_iter: int = MAX_ITERATIONS,
-    buckets: int = BUCKETS,
-    seed: int = 0,
-) -> SearchResult:
-    """Random search over (c1, c2), scored by weighted F1 without ``O`` on held-out folds.
-
-    c1 is exponential with scale 0.5 and c2 with scale 0.05. A sentence's fold
-    is a hash of its key. The best pair is fitted on everything.
-    """
-    rows = rows.withColumn("_fold", F.pmod(F.xxhash64(*SENTENCE), F.lit(folds))).persist(StorageLevel.MEMORY_AND_DISK)
-    rng = np.random.default_rng(seed)
-    tried = []
-    try:
-        for _ in range(draws):
-            c1, c2 = rng.exponential(0.5), rng.exponential(0.05)
-            scores = []
-            for fold in range(folds):
-                model = crf_fit(rows.where(F.col("_fold") != fold), buckets, c1, c2, max_iter)
-                held = crf_predict(rows.where(F.col("_fold") == fold), {"m": model})
-                scores.append(weighted_f1(held.withColumnRenamed("pred_m", "pred")).first()[0])
-            tried.append((float(c1), float(c2), float(np.mean(scores))))
-        c1, c2, _ = max(tried, key=lambda t: t[2])
-        return SearchResult(tried, crf_fit(rows, buckets, c1, c2, max_iter))
-    finally:
-        rows.unpersist()

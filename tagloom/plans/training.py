@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.constants import C1, C2, CONTENT_COLUMN, CV_FOLDS, MAX_ITERATIONS, OUTSIDE, SEARCH_DRAWS
-from tagloom.operators import crf
+from tagloom.operators import crf, crf_search
 from tagloom.operators.features import FeatureConfig
 from tagloom.operators.metrics import entity_metrics
 from tagloom.operators.ranking import sample_rows
@@ -57,10 +57,11 @@ def train_with_search(
     max_iter: int = MAX_ITERATIONS,
     buckets: int = crf.BUCKETS,
     seed: int = 0,
+    halve: bool = False,
 ) -> tuple[Tagger, list[tuple[float, float, float]]]:
     """The tagger of the best random draw, and all draws as (c1, c2, score)."""
     rows = crf.sequence_rows(tokens, config, lexicons, buckets)
-    found = crf.crf_search(rows, folds, draws, max_iter, buckets, seed)
+    found = crf_search.random_search(rows, folds, draws, max_iter, buckets, seed, halve)
     return Tagger({name: found.best}, config, lexicons), found.draws
 
 
