@@ -1,25 +1,26 @@
 """A Jaccard join on word n-grams by R-trees over count vectors.
 
 A document's set holds its distinct three-word shingles. The tokens of a set are hashed into GROUPS groups; how many fall in
-each is the document's *point*. Two sets share at most the sum of the coordinate minima of their points, and a box of an
-R-tree bounds this for all points inside by its upper corner. Pairs that survive the bound are verified on full sets.
+each is the document's *point*; a coordinate ends at 255, and what is beyond is one number, the *excess*. Two sets share at most
+the sum of the coordinate minima of their points, the excess being one more coordinate, and a box of an R-tree bounds this for all
+points inside by its upper corner. Pairs that survive the bound are verified on full sets.
 
-In 64 dimensions a ball of the join's radius reaches across the whole of every coordinate, so one tree cut over the cluster
+In so many dimensions a ball of the join's radius reaches across the whole of every coordinate, so one tree cut over the cluster
 would send each point to nearly every part. What shares a tree is therefore decided exactly and beforehand: linked
 sets of up to U tokens differ in at most ``k = U * (100 - percent) / percent`` tokens; their tokens are dealt by hash to
 ``k + 1 + SPARE`` blocks, and as each differing token spoils one block, more than SPARE blocks hold the same tokens in both.
 Sets with an equal block share a *bucket*, and each bucket is searched by itself:
 
 1. *Classes.* Rows with equal sets are one class, whatever their number.
-2. *First round.* In each bucket the smallest class is the pivot; bound and verification take it with each other member.
-   Linked pairs give components. This takes a group of near copies in one comparison a member.
+2. *First round.* In each bucket the smallest class is the pivot; the bound takes it with each other member, and verification
+   with those that pass. Linked pairs give components, and a group of near copies costs one comparison a member.
 3. *Second round.* Where the other members of a bucket still lie in several components, a tree over the points of the
-   members finds partners in other components; subtrees that hold only the own component are passed over. Large buckets are
-   cut into cells: members of the bucket's commonest component stand in one cell each, if the other members fit in a cell,
-   and only the latter are repeated. Squares of cells are formed only of members outside that component.
+   members finds partners in other components; subtrees that hold only the own component are passed over. Members without a
+   partner that the bound leaves go, equal cells become one, and what is left is searched again with verification on texts.
+   Large buckets are cut into cells: members of the bucket's commonest component stand in one cell each, if the other members
+   fit in a cell, and only the latter are repeated. Squares of cells are formed only of members outside that component.
 
-After that every linked pair was verified, or its ends lie in one component already. Buckets that hold the same members are
-searched once.
+After that every linked pair was verified, or its ends lie in one component already.
 
 Defined cases: null and empty texts, and those without words, have an empty set, link with nothing and stand alone; fewer
 than three words are one shingle; rows that repeat an id are separate documents with a result each (the component of each is
@@ -44,8 +45,8 @@ from tagloom.llm.words import byte_codes, inside_rows, mix, rolling, span_hashes
 SHINGLE = 3
 #: Linked: percent * union size <= 100 * intersection size.
 PERCENT = 90
-#: Dimensions of a point, a power of two.
-GROUPS = 64
+#: Dimensions of a point, a power of two, and the largest value of one.
+GROUPS, MOST = 256, 255
 #: Blocks beyond those that the bound needs, so that a document with few tokens need not be known by an empty block.
 SPARE = 2
 #: Sizes whose largest is at most this many times the smallest share one number of blocks.
@@ -55,7 +56,7 @@ CELL_ROWS, CELL_TOKENS = 512, 1 << 20
 PIVOT_ROWS = 1000
 #: Children of a tree node.
 FAN = 16
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _CODES = byte_codes(b"\x20\x09\x0a\x0b\x0c\x0d", fold_case=True)
 _SEED = np.uint64(0xA0761D6478BD642F)
 _SIGNED = pa.schema(
@@ -87,10 +88,19 @@ def token_sets(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.nd
 
 
 def points(tokens: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Tokens in each group, a row of uint32 for each set."""
+    """Tokens in each group, a row of bytes for each set."""
     rows = len(cuts) - 1
     cells = np.repeat(np.arange(rows) * GROUPS, np.diff(cuts)) + (tokens & np.uint64(GROUPS - 1)).astype(np.int64)
-    return np.bincount(cells, minlength=rows * GROUPS).reshape(rows, GROUPS).astype(np.uint32)
+    return np.minimum(np.bincount(cells, minlength=rows * GROUPS), MOST).astype(np.uint8).reshape(rows, GROUPS)
+
+
+def excess(grid: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return sizes - grid.sum(axis=-1, dtype=np.int64)
+
+
+def most_shared(a: np.ndarray, a_excess: np.ndarray, b: np.ndarray, b_excess: np.ndarray) -> np.ndarray:
+    """At most so many tokens are common to the sets of points ``a`` and ``b``, row by row."""
+    return np.minimum(a, b).sum(axis=-1, dtype=np.int64) + np.minimum(a_excess, b_excess)
 
 
 def size_edges(largest: int, ratio: float = RATIO) -> list[int]:
@@ -178,14 +188,14 @@ class CountTree:
     """An R-tree over points, packed by halving along the widest coordinate, searched for what may link with a point."""
 
     def __init__(self, grid: np.ndarray, sizes: np.ndarray) -> None:
-        self.grid, self.sizes = grid.astype(np.int64), sizes
+        self.grid, self.sizes, self.over = grid, sizes, excess(grid, sizes)
         self.order = self._packed(np.arange(len(grid)))
-        self.levels = []  # from the leaves up: upper corners, least sizes, first child of each node
-        upper, least = self.grid[self.order], self.sizes[self.order]
+        self.levels = []  # from the leaves up: upper corners with the largest excess, least sizes
+        upper, over, least = grid[self.order], self.over[self.order], sizes[self.order]
         while len(upper) > 1:
             first = np.arange(0, len(upper), FAN)
-            upper, least = np.maximum.reduceat(upper, first), np.minimum.reduceat(least, first)
-            self.levels.append((upper, least))
+            upper, over, least = np.maximum.reduceat(upper, first), np.maximum.reduceat(over, first), np.minimum.reduceat(least, first)
+            self.levels.append((upper, over, least))
 
     def _packed(self, rows: np.ndarray) -> np.ndarray:
         if len(rows) <= FAN:
@@ -195,24 +205,26 @@ class CountTree:
         half = FAN * max(1, len(rows) // (2 * FAN))  # whole leaves to the left
         return np.concatenate([self._packed(rows[:half]), self._packed(rows[half:])])
 
-    def search(self, point: np.ndarray, size: int, wanted: np.ndarray, percent: int) -> np.ndarray:
-        """Points with ``wanted`` set that the bound cannot tell from partners, the likeliest first."""
-        point = point.astype(np.int64)
-        use = wanted[self.order]
-        marks = []
-        for _ in self.levels:  # subtrees without a wanted point are passed over
-            use = np.logical_or.reduceat(use, np.arange(0, len(use), FAN))
-            marks.append(use)
-        nodes = np.arange(len(self.levels[-1][0])) if self.levels else np.arange(len(self.order))
-        for (upper, least), mark, below in zip(reversed(self.levels), reversed(marks), [*(len(u) for u, _ in reversed(self.levels[:-1])), len(self.order)]):
-            nodes = nodes[mark[nodes]]
-            bound = np.minimum(upper[nodes], point).sum(axis=1)
-            nodes = nodes[may_link(bound, least[nodes] + size, percent)]
-            nodes = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
-            nodes = nodes[nodes < below]
-        rows = self.order[nodes]
-        rows = rows[wanted[rows]]
-        bound = np.minimum(self.grid[rows], point).sum(axis=1)
+    def search(self, i: int, wanted: np.ndarray, percent: int) -> np.ndarray:
+        """Points with ``wanted`` set that the bound cannot tell from partners of point ``i``, the likeliest first."""
+        point, size, over = self.grid[i], self.sizes[i], self.over[i]
+        if len(self.levels) > 1:
+            use, marks = wanted[self.order], []
+            for _ in self.levels:  # subtrees without a wanted point are passed over
+                use = np.logical_or.reduceat(use, np.arange(0, len(use), FAN))
+                marks.append(use)
+            nodes = np.arange(len(self.levels[-1][0]))
+            for depth in range(len(self.levels) - 1, -1, -1):
+                upper, most, least = self.levels[depth]
+                nodes = nodes[marks[depth][nodes]]
+                nodes = nodes[may_link(most_shared(upper[nodes], most[nodes], point, over), least[nodes] + size, percent)]
+                nodes = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
+                nodes = nodes[nodes < (len(self.levels[depth - 1][0]) if depth else len(self.order))]
+            rows = self.order[nodes]
+            rows = rows[wanted[rows]]
+        else:
+            rows = np.flatnonzero(wanted)
+        bound = most_shared(self.grid[rows], self.over[rows], point, over)
         kept = may_link(bound, self.sizes[rows] + size, percent)
         return rows[kept][np.argsort(-bound[kept], kind="stable")]
 
@@ -224,58 +236,92 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _grid(column: pa.Array) -> np.ndarray:
     joined = b"".join(x.as_py() for x in column)
-    return np.frombuffer(joined, np.uint32).reshape(len(column), GROUPS)
+    return np.frombuffer(joined, np.uint8).reshape(len(column), GROUPS)
 
 
-def verified(pairs: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``u, v`` that pass the bound and link on full sets; ``bodies`` has ``node, text, point`` of all that occur.
+def _dealt(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` with a ``salt``, and ``u, salt`` to repeat what belongs to ``u``: once for each PIVOT_ROWS pairs of it."""
+    parts = F.ceil(F.col("n") / PIVOT_ROWS).cast("int").alias("parts")
+    salts = stored(pairs.groupBy("u").agg(F.count("*").alias("n")).select("u", parts), "pivots")
+    dealt = pairs.join(salts.hint("merge"), "u").withColumn("salt", F.pmod(F.xxhash64("v"), "parts").cast("int"))
+    return dealt.select("u", "v", "salt"), salts.select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
 
-    A node that is ``u`` of many pairs stands in as many copies as there are thousands of them, so its pairs are dealt out.
-    """
-    salts = pairs.groupBy("u").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / PIVOT_ROWS).cast("int"))
-    salts = stored(salts, "pivots")
-    left = bodies.select(F.col("node").alias("u"), F.col("text").alias("text_u"), F.col("point").alias("point_u"))
-    left = left.hint("merge").join(salts.drop("n"), "u").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    right = bodies.select(F.col("node").alias("v"), F.col("text").alias("text_v"), F.col("point").alias("point_v"))
-    dealt = hot_join(pairs, salts, "u", "n").withColumn("salt", F.pmod(F.xxhash64("v"), "parts").cast("int"))
-    both = dealt.select("u", "v", "salt").join(right.hint("merge"), "v").join(left.drop("parts").hint("merge"), ["u", "salt"])
+
+def bounded(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs ``u, v`` that the bound leaves; ``nodes`` has ``node, point, n_shingles``."""
+    dealt, copies = _dealt(pairs)
+    u, v = ([F.col("node").alias(x), F.col("point").alias(f"point_{x}"), F.col("n_shingles").alias(f"size_{x}")] for x in "uv")
+    left = copies.join(nodes.select(*u).hint("merge"), "u")
+    right = nodes.select(*v)
+    both = dealt.join(right.hint("merge"), "v").join(left.hint("merge"), ["u", "salt"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = _grid(batch.column("point_u")), _grid(batch.column("point_v"))
+            m, n = batch.column("size_u").to_numpy(), batch.column("size_v").to_numpy()
+            near = may_link(most_shared(a, excess(a, m), b, excess(b, n)), m + n, percent)
+            yield batch.select(["u", "v"]).filter(pa.array(near))
+
+    return both.select("u", "v", "point_u", "point_v", "size_u", "size_v").mapInArrow(run, "u long, v long")
+
+
+def verified(pairs: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs ``u, v`` that link on full sets; ``bodies`` has ``node, text`` of all that occur."""
+    dealt, copies = _dealt(pairs)
+    left = copies.join(bodies.select(F.col("node").alias("u"), F.col("text").alias("text_u")).hint("merge"), "u")
+    right = bodies.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
+    both = dealt.join(right.hint("merge"), "v").join(left.hint("merge"), ["u", "salt"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple = (None, None)
         for whole in batches:
             for batch in row_slices(whole, "text_v", SLICE_BYTES):
-                a, b = _grid(batch.column("point_u")).astype(np.int64), _grid(batch.column("point_v")).astype(np.int64)
-                near = may_link(np.minimum(a, b).sum(axis=1), a.sum(axis=1) + b.sum(axis=1), percent)
-                batch = batch.filter(pa.array(near))
                 tokens, cuts = token_sets(batch.column("text_v"))
                 keep, texts = [], batch.column("text_u")
                 for i, u in enumerate(batch.column("u").to_pylist()):
                     if u != known[0]:  # the join leaves the pairs of one node together
                         known = (u, token_sets(texts.slice(i, 1))[0])
                     keep.append(linked(known[1], tokens[cuts[i] : cuts[i + 1]], percent))
-                yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+                yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return text_batches(both.select("u", "v", "text_u", "text_v")).mapInArrow(run, "u long, v long")
 
-    return text_batches(both.select("u", "v", "text_u", "text_v", "point_u", "point_v")).mapInArrow(run, "u long, v long")
 
+def _wanted(i: int, label: np.ndarray, outer: np.ndarray) -> np.ndarray:
+    """What member ``i`` of a cell is to be held against: other components, of the main one if any, else each pair once."""
+    return (label != label[i]) & (np.arange(len(label)) > i if outer.all() else ~outer)
+
+
+def _kept(table: pa.Table, percent: int) -> pa.Table:
+    """The members of a cell with a partner that the bound leaves, named by what they are together."""
+    table = table.sort_by("node")
+    label, outer = table["component"].to_numpy(), table["outer"].to_numpy(zero_copy_only=False)
+    tree, kept = CountTree(_grid(table["point"]), table["n_shingles"].to_numpy()), np.zeros(len(label), bool)
+    for i in np.flatnonzero(outer):
+        wanted = _wanted(i, label, outer)
+        found = tree.search(i, wanted, percent) if wanted.any() else []
+        kept[found] = True
+        kept[i] |= len(found) > 0
+    left = table.select(["node", "component", "outer"]).filter(pa.array(kept))
+    who = hashlib.blake2b(left["node"].to_numpy().tobytes() + left["outer"].to_numpy(zero_copy_only=False).tobytes(), digest_size=16).digest()
+    return left.append_column("who", pa.array([who] * len(left), pa.binary()))
 
-def _searched(table: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+
+def _searched(table: pa.Table, percent: int) -> pa.Table:
     """Links between components inside one cell, enough to join all that are linked."""
+    table = table.sort_by("node")
     nodes, label = table["node"].to_numpy(), table["component"].to_numpy().copy()
     outer = table["outer"].to_numpy(zero_copy_only=False)
     tokens, cuts = token_sets(table["text"])
-    sizes, grid = np.diff(cuts), _grid(table["point"].combine_chunks())
-    tree, across = CountTree(grid, sizes), not outer.all()
+    tree = CountTree(points(tokens, cuts), np.diff(cuts))
     u, v = [], []
     for i in np.flatnonzero(outer):
-        wanted = label != label[i]
-        wanted &= ~outer if across else np.arange(len(nodes)) > i  # each pair is seen from one end
-        if not wanted.any():
-            continue
-        for j in tree.search(grid[i], int(sizes[i]), wanted, percent):
+        wanted = _wanted(i, label, outer)
+        for j in tree.search(i, wanted, percent) if wanted.any() else ():
             if label[j] != label[i] and linked(tokens[cuts[i] : cuts[i + 1]], tokens[cuts[j] : cuts[j + 1]], percent):
                 u.append(int(nodes[i])), v.append(int(nodes[j]))
                 label[label == label[j]] = label[i]
-    return u, v
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
 def _cells(members: DataFrame) -> DataFrame:
@@ -291,11 +337,11 @@ def _cells(members: DataFrame) -> DataFrame:
         return F.greatest(F.lit(1), F.ceil(rows / CELL_ROWS), F.ceil(tokens / CELL_TOKENS)).cast("int")
 
     plan = bulk.select(
-        "key", F.col("top.component").alias("main"), F.col("rows").alias("n"),
+        "key", F.col("top.component").alias("main"),
         parts(F.col("top.rows"), F.col("top.bulk")).alias("main_parts"),
         parts(F.col("rows") - F.col("top.rows"), F.col("bulk") - F.col("top.bulk")).alias("outer_parts"),
     )
-    dealt = hot_join(members, stored(plan, "cells"), "key", "n").withColumn("outer", F.col("component") != F.col("main"))
+    dealt = members.join(plan.hint("merge"), "key").withColumn("outer", F.col("component") != F.col("main"))
     place = F.xxhash64("node")
     own = F.when(F.col("outer"), F.pmod(place, "outer_parts")).otherwise(F.pmod(place, "main_parts")).cast("int")
 
@@ -315,15 +361,14 @@ def _cells(members: DataFrame) -> DataFrame:
     )
 
 
-def across(members: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
+def across(members: DataFrame, nodes: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     """Links ``u, v`` between components inside buckets, of ``key, node, component, n_shingles``."""
-
-    def search(table: pa.Table) -> pa.Table:
-        u, v = _searched(table.sort_by("node"), percent)
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    full = _cells(members).join(bodies.hint("merge"), "node")
-    return full.groupBy("key", "kind", "a", "b").applyInArrow(search, "u long, v long").distinct()
+    spark = members.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # named, as small rows here mean much work
+    full = _cells(members).join(nodes.hint("merge"), "node").repartition(tasks, "key", "kind", "a", "b")
+    kept = full.groupBy("key", "kind", "a", "b").applyInArrow(lambda t: _kept(t, percent), "node long, component long, outer boolean, who binary")
+    kept = stored(kept, "kept").dropDuplicates(["who", "node"]).join(bodies.hint("merge"), "node").repartition(tasks, "who")
+    return kept.groupBy("who").applyInArrow(lambda t: _searched(t, percent), "u long, v long").distinct()
 
 
 # ---- the join ------------------------------------------------------------------------
@@ -340,31 +385,31 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     grouped = named.groupBy("set_hash").agg(one.alias("one"), F.count("*").alias("n"))
     classes = stored(grouped.select("set_hash", "n", "one.*").withColumn("node", F.monotonically_increasing_id()), "classes")
 
+    nodes = classes.select("node", "point", "n_shingles")
+
     keys = classes.select("node", F.explode("blocks").alias("key"))
-    who = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"who{seed}") for seed in (1, 2)]
-    buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n"), *who).where("n > 1")
-    buckets = buckets.groupBy("n", "pivot", "who1", "who2").agg(F.min("key").alias("key"))  # one of those with the same members
-    buckets = stored(buckets.select("key", "n", "pivot"), "buckets")
-    members = stored(hot_join(keys, buckets, "key", "n").where("node != pivot"), "members")  # key, node, pivot, n
-
-    first = stored(members.select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
-    involved = first.select(F.col("u").alias("node")).union(first.select("v")).distinct()
-    wanted = classes.join(involved, "node").select("node", "doc_id", "text_hash", "point")
+    buckets = stored(keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "buckets")
+    members = stored(keys.join(buckets.hint("merge"), "key").where("node != pivot"), "members")  # key, node, pivot, n
+
+    pairs = stored(members.select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+    involved = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    wanted = classes.join(involved, "node").select("node", "doc_id", "text_hash")
     found = rows.hint("merge").join(wanted, ["doc_id", "text_hash"])
-    bodies = stored(found.dropDuplicates(["doc_id", "text_hash"]).select("node", "text", "point"), "bodies")
-    links = stored(verified(first, bodies, percent), "links")
+    bodies = stored(found.dropDuplicates(["doc_id", "text_hash"]).select("node", "text"), "bodies")
+    links = stored(verified(stored(bounded(pairs, nodes, percent), "near"), bodies, percent), "links")
 
     near = components(links).withColumnRenamed("id", "node")
     state = members.select("key", "node").join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
     state = stored(state, "state")
     mixed = state.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    rest = stored(state.join(mixed, "key").join(classes.select("node", "n_shingles"), "node"), "rest")
-    links = stored(links.union(across(rest, bodies, percent)), "links")
+    rest = stored(state.join(mixed.hint("merge"), "key").join(nodes.select("node", "n_shingles").hint("merge"), "node"), "rest")
+    links = stored(links.union(across(rest, nodes, bodies, percent)), "links")
 
     label = F.coalesce("component", "node")
     reached = classes.select("node", "set_hash", "n", "doc_id").join(components(links).withColumnRenamed("id", "node"), "node", "left").withColumn("component", label)
-    least = reached.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("classes"))
-    labels = hot_join(stored(reached.drop("doc_id"), "reached"), stored(least, "least"), "component", "classes")
+    reached = stored(reached, "reached")
+    least = reached.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    labels = reached.drop("doc_id").join(least.hint("merge"), "component")
     result = hot_join(named.select("doc_id", "n_shingles", "set_hash"), stored(labels.select("set_hash", "n", "component_id"), "labels"), "set_hash", "n")
     single = marked.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return result.select("doc_id", "n_shingles", "component_id").union(single)

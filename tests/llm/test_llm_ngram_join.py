@@ -101,27 +101,31 @@ def test_linked_sets_share_a_block():
 def test_tree_finds_all_that_pass_the_bound():
     rng = np.random.default_rng(4)
     for m in (1, 2, 15, 16, 17, 33, 300):
-        grid = rng.poisson(rng.choice([1, 4, 9], (m, 1)), (m, nj.GROUPS)).astype(np.uint32)
+        grid = rng.poisson(rng.choice([1, 4, 9], (m, 1)), (m, nj.GROUPS)).astype(np.uint8)
         grid[m // 2 :] = grid[0]
-        sizes = grid.sum(axis=1).astype(np.int64)
+        sizes = grid.sum(axis=1).astype(np.int64) + rng.integers(0, 5, m)
         tree = nj.CountTree(grid, sizes)
         assert sorted(tree.order.tolist()) == list(range(m))
         for q in range(0, m, 7):
             wanted = rng.random(m) < 0.7
-            both = np.minimum(grid, grid[q]).sum(axis=1)
+            both = np.minimum(grid, grid[q]).sum(axis=1) + np.minimum(tree.over, tree.over[q])
             want = np.flatnonzero(wanted & nj.may_link(both, sizes + sizes[q], 90))
-            found = tree.search(grid[q], int(sizes[q]), wanted, 90)
+            found = tree.search(q, wanted, 90)
             assert sorted(found.tolist()) == want.tolist()
             assert (np.diff(both[found]) <= 0).all()
 
 
-def test_points_bound_the_overlap():
+def test_points_bound_the_overlap(monkeypatch):
     rng = random.Random(6)
     column = pa.array(odd_texts() + families(7))
     tokens, cuts = nj.token_sets(column)
-    grid = nj.points(tokens, cuts)
-    assert (grid.sum(axis=1) == np.diff(cuts)).all()
-    for _ in range(300):
-        a, b = rng.randrange(len(column)), rng.randrange(len(column))
-        both = np.intersect1d(tokens[cuts[a] : cuts[a + 1]], tokens[cuts[b] : cuts[b + 1]])
-        assert len(both) <= np.minimum(grid[a], grid[b]).sum()
+    sizes = np.diff(cuts)
+    for most in (nj.MOST, 2, 0):
+        monkeypatch.setattr(nj, "MOST", most)
+        grid = nj.points(tokens, cuts)
+        over = nj.excess(grid, sizes)
+        assert (over >= 0).all() and (most < 255 or over.max() < 100)
+        for _ in range(300):
+            a, b = rng.randrange(len(column)), rng.randrange(len(column))
+            both = np.intersect1d(tokens[cuts[a] : cuts[a + 1]], tokens[cuts[b] : cuts[b + 1]])
+            assert len(both) <= nj.most_shared(grid[a], over[a], grid[b], over[b])
