@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tagloom.constants import WORD
 from tagloom.functions.text import as_col, is_alnum, title_case, tokens_of, words_of
 from tagloom.operators.joins import only_in, union_all
-from tagloom.operators.ranking import quantiles
+from tagloom.operators.ranking import quantiles, with_rank
 from tagloom.session import freeze
 
 
@@ -148,6 +148,53 @@ def bag_of_words(docs: DataFrame, vocabulary: Sequence[str], text: str = "text",
     )
 
 
+def vocabulary(docs: DataFrame, text: str = "text", least: int = 1) -> DataFrame:
+    """(word, id, n): lower-case words that occur at least so often, numbered from the commonest, ties by the word."""
+    words = docs.select(F.explode(tokens_of(F.lower(as_col(text)), rf"[{WORD}]+")).alias("word"))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return with_rank(counts, [F.col("n").desc(), "word"], "id").select("word", F.col("id").cast("int").alias("id"), "n")
+
+
+def word_entries(docs: DataFrame, words: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, id, n): how often each word of a vocabulary table occurs in each document, without zeros.
+
+    The table has any size: it joins without a hint, so it is broadcast while small, and adaptive execution splits the
+    commonest words when it is not. A document's words are counted in one place before they meet the table.
+    """
+    found = docs.select(F.col(key).alias("doc_id"), F.explode(tokens_of(F.lower(as_col(text)), rf"[{WORD}]+")).alias("word"))
+    counts = found.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(words.select("word", "id"), "word").select("doc_id", "id", "n")
+
+
+def sparse_vectors(entries: DataFrame, docs: DataFrame, value: str = "n", key: str = "doc_id") -> DataFrame:
+    """(doc_id, indices, values) from (doc_id, id, value): a row per document, indices rising; no entries make empty arrays."""
+    pairs = F.sort_array(F.collect_list(F.struct("id", F.col(value).cast("double").alias("value"))))
+    rows = entries.groupBy("doc_id").agg(pairs.alias("_p"))
+    vectors = rows.select(
+        "doc_id", F.transform("_p", lambda p: p["id"]).alias("indices"), F.transform("_p", lambda p: p["value"]).alias("values")
+    )
+    ids = docs.select(F.col(key).alias("doc_id")).distinct()
+    none = (F.coalesce("indices", F.array().cast("array<int>")), F.coalesce("values", F.array().cast("array<double>")))
+    return ids.join(vectors, "doc_id", "left").select("doc_id", none[0].alias("indices"), none[1].alias("values"))
+
+
+def sparse_bag_of_words(docs: DataFrame, words: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, indices, values): :func:`bag_of_words` for a vocabulary table of any size."""
+    return sparse_vectors(word_entries(docs, words, text, key), docs, "n", key)
+
+
+def sparse_tfidf(docs: DataFrame, words: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(doc_id, id, tfidf): smoothed idf and rows of length one, as :func:`tfidf_l2`, over a vocabulary table."""
+    entries = word_entries(docs, words, text, key)
+    n_docs = docs.agg(F.count_distinct(key).alias("n")).scalar()
+    idf = entries.groupBy("id").agg(F.count(F.lit(1)).alias("df")).select(
+        "id", (F.log((n_docs + F.lit(1.0)) / (F.col("df") + 1)) + 1).alias("idf")
+    )
+    weighted = entries.join(idf, "id").select("doc_id", "id", (F.col("n") * F.col("idf")).alias("w"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return weighted.select("doc_id", "id", (F.col("w") / length).alias("tfidf"))
+
+
 def scored_document_words(docs: DataFrame, scores: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, word, score): the distinct words of each document with their corpus score."""
     words = docs.select(F.col(key).alias("doc_id"), F.explode(F.array_distinct(words_of(text))).alias("word"))
@@ -169,17 +216,18 @@ def mutual_ratio(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.join(y, "token").withColumn("ratio", F.try_divide(F.col("count_x").cast("double"), F.col("count_y")))
 
 
-def contrast_keywords(a: DataFrame, b: DataFrame, first: bool = True) -> DataFrame:
+def contrast_keywords(a: DataFrame, b: DataFrame, first: bool = True, error: float | None = None) -> DataFrame:
     """Keywords (token) of corpus ``a``, or of ``b`` with ``first=False``.
 
     A token qualifies for ``a`` if its ratio is above the upper quartile or
     ``b`` lacks it, and its count is above the upper quartile of those; the list
     of ``b`` mirrors this. The counts are read several times, so they are
-    written once instead of being drawn from the text again.
+    written once instead of being drawn from the text again. With ``error`` the
+    quartiles are off by at most that share of the rows and nothing is sorted.
     """
     a, b = freeze(a), freeze(b)
     mutual = mutual_ratio(a, b)
-    cut = quantiles(mutual, "ratio", [0.75 if first else 0.25]).scalar()
+    cut = quantiles(mutual, "ratio", [0.75 if first else 0.25], error).scalar()
     if first:
         own, mine, other, count = mutual.where(F.col("ratio") > cut), a, b, "count_x"
     else:
@@ -187,5 +235,5 @@ def contrast_keywords(a: DataFrame, b: DataFrame, first: bool = True) -> DataFra
     pool = union_all(
         [own.select("token", F.col(count).alias("cnt")), only_in(mine, other, "token").select("token", "cnt")]
     )
-    top = quantiles(pool, "cnt", [0.75]).scalar()
+    top = quantiles(pool, "cnt", [0.75], error).scalar()
     return pool.where(F.col("cnt") > top).select("token")

@@ -186,12 +186,6 @@ def _direction(grad: np.ndarray, memory: list[tuple[np.ndarray, np.ndarray]]) ->
     return -q
 
 
-def _pseudo_gradient(w: np.ndarray, grad: np.ndarray, c1: float) -> np.ndarray:
-    up, down = grad + c1, grad - c1
-    at_zero = np.where(up < 0, up, np.where(down > 0, down, 0.0))
-    return np.where(w > 0, up, np.where(w < 0, down, at_zero))
-
-
 class Descent:
     """Orthant-wise L-BFGS that asks for values instead of computing them, so several can share one pass over the data."""
 
@@ -218,7 +212,7 @@ class Descent:
         memory: list[tuple[np.ndarray, np.ndarray]] = []
         for _ in range(self.max_iter):
             w = self.w
-            pseudo = _pseudo_gradient(w, grad, self.c1)
+            pseudo = crf_kernels.pseudo_gradient(w, grad, self.c1)
             norm = np.linalg.norm(pseudo)
             if norm <= self.tolerance * max(1.0, np.linalg.norm(w)):
                 return

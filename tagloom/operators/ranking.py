@@ -9,6 +9,7 @@ unique column: equal values then spread over partitions like any others.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,6 +50,15 @@ def with_rank(df: DataFrame, order: Sequence[Column | str], out: str = "rank", t
     )
 
 
+def with_position(df: DataFrame, out: str = "position", total: str | None = None) -> DataFrame:
+    """Add the 0-based position of each row in the order the table is in now, and the row count as ``total``; nothing is sorted."""
+    placed = freeze(df.withColumn("_mid", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_mid", LOCAL_BITS))
+    counts = _parts_before(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))
+    extra = [F.col("_total").alias(total)] if total else []
+    return placed.join(F.broadcast(counts), "_part").select(*df.columns, (F.col("_before") + local).alias(out), *extra)
+
+
 def rank_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str = "rank") -> DataFrame:
     """Add the 0-based position inside each key; a hot key is spread over many tasks."""
     placed = _sorted_parts(df, [*keys, *order])
@@ -62,11 +72,45 @@ def rank_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     )
 
 
-def quantiles(df: DataFrame, col: str, points: Sequence[float]) -> DataFrame:
-    """One row with exact linearly interpolated quantiles ``q0``, ``q1``, ….
+SKETCH_SIZES = (8, 65535)
+
+
+def sketch_size(error: float) -> int:
+    """The parameter of a KLL sketch whose ranks are off by at most ``error`` of all rows, in 99 of 100 cases."""
+    return min(max(math.ceil((2.296 / error) ** (1 / 0.9723)), SKETCH_SIZES[0]), SKETCH_SIZES[1])
+
+
+def quantile_sketches(df: DataFrame, col: str, error: float, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, sketch): a mergeable summary of a number column, one for the table or for each key.
+
+    A sketch has a size that follows from ``error`` and not from the rows; partial ones are merged before the shuffle. Nulls
+    do not count, and a key without a value has no row.
+    """
+    sketch = F.kll_sketch_agg_double(F.col(col).cast("double"), sketch_size(error))
+    return df.where(F.col(col).isNotNull()).groupBy(*keys).agg(sketch.alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, sketch): summaries of several tables, or of days or parts of one, brought together."""
+    return sketches.where("sketch IS NOT NULL").groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, points: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, q0, q1, …): values whose rank is near the wanted one; null where nothing was counted."""
+    at = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(f"q{i}") for i, p in enumerate(points)]
+    full = F.when(F.kll_sketch_get_n_double("sketch") > 0, F.col("sketch"))
+    return sketches.withColumn("sketch", full).select(*keys, *at)
+
+
+def quantiles(df: DataFrame, col: str, points: Sequence[float], error: float | None = None) -> DataFrame:
+    """One row with linearly interpolated quantiles ``q0``, ``q1``, ….
 
-    Equal values are counted first, so the sort sees each value once.
+    They are exact without ``error``: equal values are counted first, so the sort sees each value once. With ``error``, a
+    share of all rows, they are values of the column whose rank is off by at most that (see :func:`sketch_size`), and nothing
+    is sorted.
     """
+    if error is not None:
+        return sketched_quantiles(quantile_sketches(df, col, error), points)
     placed = _sorted_parts(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c")), [col])
     parts = _parts_before(placed.groupBy("_part").agg(F.sum("_c").alias("_n")))
     inside = Window.partitionBy("_part").orderBy("_mid")

@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.plans import inputs as inp
 from tagloom.plans.registry import query
-from tagloom.session import ensure_checkpoint_dir
+from tagloom.session import work_folder
 from tagloom.sources import message_queue as mq
 from tagloom.streaming.delivery import deliver_once as deliver
 
 
-def _work(spark) -> str:
-    """A new folder that all executors share."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/queues-{uuid.uuid4().hex}"
-
-
 @query("deliver_once", """
 SELECT conv_id || ':' || turn AS message_id, coalesce(role, '') || ': ' || coalesce(text, '') AS value FROM conversations
 """)
 def deliver_once(spark, d) -> DataFrame:
     """Every turn comes twice, in another order, and is answered once."""
-    folder = _work(spark)
+    folder = work_folder(spark, "queues")
     record = F.to_json(F.struct("role", "text"))
     turns = inp.conversations(spark, d).select(F.concat_ws(":", "conv_id", "turn").alias("id"), record.alias("body"))
     again = turns.repartition(16, F.xxhash64("body")).sortWithinPartitions(F.xxhash64("id"))

@@ -15,6 +15,8 @@ from tagloom.operators import tokens as tk
 from tagloom.plans import inputs as inp
 from tagloom.plans import recipes
 from tagloom.plans.registry import query, table
+from tagloom.session import work_folder
+from tagloom.sources.writers import write_chunked
 
 # ---- sources and projections -------------------------------------------------
 
@@ -520,3 +522,42 @@ def ner_candidates(spark, d):
     return tk.ner_candidates(tk.document_sentences(inp.documents(spark, d)))
 
 
+# ---- chunks of files and sketches ------------------------------------------------
+
+
+@query(
+    "chunked_files",
+    """SELECT ((r - 1) // 3000)::INTEGER AS file, count(*) AS n_rows, sum(event_id)::BIGINT AS ids, min(event_id) AS least, max(event_id) AS largest
+       FROM (SELECT event_id, row_number() OVER (ORDER BY value DESC, event_id) AS r FROM events) GROUP BY 1""",
+)
+def chunked_files(spark, d):
+    """Files of 3000 rows each, read back and numbered by name."""
+    events, path = table(spark, d, "events").select("event_id", "user_id", "value"), work_folder(spark, "chunks")
+    write_chunked(events, path, 3000, order=[F.col("value").desc(), "event_id"])
+    found = spark.read.option("header", True).schema("event_id long, user_id long, value double").csv(path)
+    named = found.withColumn("name", F.input_file_name())
+    ids = [F.sum("event_id").alias("ids"), F.min("event_id").alias("least"), F.max("event_id").alias("largest")]
+    by_file = named.groupBy("name").agg(F.count("*").alias("n_rows"), *ids)
+    return rk.with_rank(by_file, ["name"], "file").select(F.col("file").cast("int").alias("file"), "n_rows", "ids", "least", "largest")
+
+
+SKETCH_POINTS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@query(
+    "approx_quantiles",
+    f"""SELECT o_orderpriority, point, count(*) AS n, true AS near FROM orders, (SELECT unnest({SKETCH_POINTS}::DOUBLE[]) AS point)
+        WHERE o_totalprice IS NOT NULL GROUP BY 1, 2""",
+)
+def approx_quantiles(spark, d):
+    """Whether quantiles of merged sketches have the rank they should, within three times the error asked for."""
+    error, key = 0.01, "o_orderpriority"
+    orders = table(spark, d, "orders")
+    by_month = rk.quantile_sketches(orders.withColumn("month", F.month("o_orderdate")), "o_totalprice", error, [key, "month"])
+    found = rk.sketched_quantiles(rk.merge_sketches(by_month, [key]), SKETCH_POINTS, [key])
+    points = F.array(*[F.struct(F.lit(p).alias("point"), F.col(f"q{i}").alias("q")) for i, p in enumerate(SKETCH_POINTS)])
+    asked = found.select(key, F.explode(points).alias("a")).select(key, "a.*")
+    priced = orders.where("o_totalprice IS NOT NULL").select(key, "o_totalprice")
+    rank = F.avg(F.when(F.col("o_totalprice") <= F.col("q"), 1.0).otherwise(0.0))
+    ranked = priced.join(asked, key).groupBy(key, "point").agg(F.count("*").alias("n"), rank.alias("rank"))
+    return ranked.select(key, "point", "n", (F.abs(F.col("rank") - F.col("point")) <= 3 * error).alias("near"))

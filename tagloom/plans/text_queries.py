@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagloom.constants import ASCII_PUNCT, CJK_PUNCT, CASED, CONLL_TYPES, END_POS, END_TOKEN, WORD, digit_class, numeric_class
 from tagloom.functions.text import is_alnum, words_of
 from tagloom.operators import aggregates as ag
+from tagloom.operators import dictionaries as dc
 from tagloom.operators import joins as jo
 from tagloom.operators import metrics as mt
 from tagloom.operators import sequences as sq
@@ -17,6 +18,7 @@ from tagloom.operators.features import NEIGHBOUR_SHAPES, SHAPES, FeatureConfig,
 from tagloom.plans import inputs as inp
 from tagloom.plans import recipes
 from tagloom.plans.registry import query, table
+from tagloom.session import work_folder
 from tagloom.sources.lexicons import stack_lexicons
 
 # ---- token tables -------------------------------------------------------------
@@ -407,6 +409,22 @@ def tag_diff(spark, d):
     return tg.tag_diff(tokens.withColumn("ner", F.col("pred")), tokens.withColumn("ner", F.col("truth")))
 
 
+@query(
+    "tag_diff_tables",
+    f"""WITH {inp.DOC_TOKENS}, {inp.PRED_TOKENS} SELECT doc_id, sent_id, tok_id, token, pred AS bugged_ner,
+        truth AS fixed_ner FROM preds WHERE pred <> truth""",
+)
+def tag_diff_tables(spark, d):
+    """The same over two stored taggings, compared bucket by bucket."""
+    tokens, folder = inp.with_prediction(inp.document_tokens(spark, d)), work_folder(spark, "taggings")
+    name = folder.rsplit("-", 1)[-1]
+    saved = [
+        tg.save_token_table(tokens.select(*tg.TOKEN_KEY, "token", F.col(c).alias("ner")), f"tags_{c}_{name}", f"{folder}/{c}", buckets=16)
+        for c in ("pred", "truth")
+    ]
+    return tg.tag_diff(*saved)
+
+
 @query(
     "tag_false_pos",
     f"""WITH {inp.DOC_TOKENS}, {inp.PRED_TOKENS} SELECT doc_id, sent_id, tok_id, token, pred AS bugged_ner,
@@ -509,8 +527,8 @@ _RATIO, _PRODUCT = "tf::DOUBLE / df", "tf::DOUBLE * df"
 
 
 def _flag_sql(score: str) -> str:
-    return f"""WITH {_TERMS}, sc AS (SELECT word, {score} AS s FROM terms), st AS (SELECT avg(s) AS m, stddev_pop(s) AS d FROM sc)
-        SELECT word, CASE WHEN d > 0 AND (s - m) / d < 0 THEN 0 ELSE 1 END AS flag FROM sc, st"""
+    return f"""WITH {_TERMS} SELECT word, CASE WHEN stddev_pop(s) OVER () > 0 AND s < avg(s) OVER () THEN 0 ELSE 1 END AS flag
+        FROM (SELECT word, {score} AS s FROM terms)"""
 
 
 @query(
@@ -573,6 +591,32 @@ def bag_of_words(spark, d):
     return bag.withColumnsRenamed({v: f"n_{v}" for v in VOCABULARY})
 
 
+@query(
+    "sparse_words",
+    f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[{WORD}]+')) AS word FROM documents),
+        v AS (SELECT word, (row_number() OVER (ORDER BY count(*) DESC, word) - 1)::INTEGER AS id FROM w GROUP BY 1 HAVING count(*) >= 2)
+        SELECT doc_id, id, count(*) AS n FROM w JOIN v USING (word) GROUP BY 1, 2""",
+)
+def sparse_words(spark, d):
+    """Bag of words over all words that occur twice, in long form."""
+    docs = inp.documents(spark, d)
+    vectors = ag.sparse_bag_of_words(docs, ag.vocabulary(docs, least=2))
+    pairs = F.explode(F.arrays_zip("indices", "values")).alias("p")
+    return vectors.select("doc_id", pairs).select("doc_id", F.col("p.indices").alias("id"), F.col("p.values").cast("long").alias("n"))
+
+
+@query(
+    "dictionary_hits",
+    f"""WITH v AS (SELECT DISTINCT w FROM (SELECT unnest({inp.words_sql('text')}) AS w FROM conversations) WHERE length(w) >= 12)
+        SELECT doc_id, count(*) AS n_values, min(w) AS least, max(w) AS largest FROM documents JOIN v ON contains(text, w) GROUP BY 1""",
+)
+def dictionary_hits(spark, d):
+    """Which long words of the conversations stand in a document, as words or inside them."""
+    words = table(spark, d, "conversations").select(F.explode(words_of("text")).alias("value")).where(F.length("value") >= 12)
+    hits = dc.find_values(inp.documents(spark, d), words).select("doc_id", "value").distinct()
+    return hits.groupBy("doc_id").agg(F.count("*").alias("n_values"), F.min("value").alias("least"), F.max("value").alias("largest"))
+
+
 @query(
     "head_tail_words",
     f"""WITH {_TERMS}, dw AS (SELECT DISTINCT doc_id, unnest({inp.words_sql(f'lower({_CLEAN})')}) AS word FROM documents),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-checkpoint-"))
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder, not made yet, that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

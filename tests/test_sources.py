@@ -119,3 +119,18 @@ def test_frames_from_python(spark):
     assert rows(rd.frame_from_rows(spark, [[1, "a"]], ["n", "t"])) == [(1, "a")]
     assert rows(rd.frame_from_items(spark, {"a": 1}, ["k", "v"])) == [("a", 1)]
     assert rows(rd.frame_from_dicts(spark, [{"x": 1, "y": 2}, {"x": 3}], ["one", "two"])) == [("x", 1, 3), ("y", 2, None)]
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_files_of_exactly_so_many_rows(spark, tmp_path, monkeypatch, ordered):
+    for writers in (10_000, 3):
+        monkeypatch.setattr(wr, "WRITERS", writers)
+        df = spark.range(0, 1003, 1, 13).select("id", (F.col("id") * 7919 % 1003).alias("key"))
+        out = tmp_path / f"{writers}"
+        wr.write_chunked(df, str(out), rows=60, order=["key"] if ordered else None)
+        files = [f.read_text().splitlines() for f in sorted(out.glob("*.csv"))]
+        assert [len(f) - 1 for f in files] == [60] * 16 + [43] and {f[0] for f in files} == {"id,key"}
+        lines = [tuple(map(int, line.split(","))) for f in files for line in f[1:]]
+        assert lines == sorted(lines, key=lambda r: r[1] if ordered else r[0])
+    wr.write_chunked(df.limit(0), str(tmp_path / "none"), rows=60)
+    assert spark.read.option("header", True).csv(str(tmp_path / "none")).count() == 0
