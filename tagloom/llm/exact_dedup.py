@@ -7,7 +7,8 @@ thousand of them at most) are joined by broadcast, so no task gets all copies of
 
 Defined cases: null text counts as empty, and empty texts are copies of each other. Of equal texts the row with the most
 code points stays, then the smallest id; a null id comes after all others. Rows that repeat an id and its text count each
-and share their mark. Extra columns are ignored by :func:`exact_groups` and kept by :func:`drop_copies`.
+and share their mark; :func:`drop_copies` keeps one of them. Extra columns are ignored by :func:`exact_groups` and kept by
+:func:`drop_copies`.
 """
 
 from __future__ import annotations
@@ -55,12 +56,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, one of each group, with all their columns.
 
-    Rows are matched by id and hash, so a row that repeats the kept one in both stays beside it. The list of those that go
+    Rows are matched by id and hash. Of rows that share both, one with the longest text stays. The list of those that go
     grows with the corpus, so it is not broadcast.
     """
-    groups = exact_groups(docs, id_col, text_col).where(~F.col("kept"))
-    gone = groups.select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_sha"))
-    sha = F.unhex(F.sha2(normalised(docs[text_col]), 256))
-    return docs.hint("merge").join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]) & (sha == gone["gone_sha"]), "left_anti")
+    groups = stored(exact_groups(docs, id_col, text_col).select("doc_id", F.unhex("text_sha256").alias("sha"), "kept"), "marks")
+    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha"))
+    own_id, sha = docs[id_col].cast("long"), F.unhex(F.sha2(normalised(docs[text_col]), 256))
+    left = docs.hint("merge").join(gone, own_id.eqNullSafe(gone["gone_id"]) & (sha == gone["gone_sha"]), "left_anti")
+    several = groups.where("kept").groupBy("doc_id", "sha").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "sha")
+    if several.isEmpty():
+        return left
+    # names of our own beside all columns of the table, whatever these are called
+    kept = left.select(F.struct(*[left[c] for c in left.columns]).alias("row"), left[id_col].cast("long").alias("id"), F.length(left[text_col]).alias("size"),
+                       F.unhex(F.sha2(normalised(left[text_col]), 256)).alias("own"))
+    same = F.col("id").eqNullSafe(several["doc_id"]) & (F.col("own") == several["sha"])
+    single, repeated = kept.join(several, same, "left_anti"), kept.join(several, same, "left_semi")
+    longest = repeated.groupBy(F.col("id").alias("of"), F.col("own").alias("sha")).agg(F.max("size").alias("most"))
+    found = repeated.join(longest, F.col("id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("sha")) & F.col("size").eqNullSafe(F.col("most")), "left_semi")
+    return single.select("row.*").union(found.dropDuplicates(["id", "own"]).select("row.*"))

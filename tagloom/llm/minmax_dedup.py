@@ -17,8 +17,9 @@ A group of copies costs one comparison for each member and band. Groups of over
 broadcast (a thousand of them at most).
 
 Defined cases: null and empty texts, and those without words, have an empty set, link with nothing and stand alone; fewer
-than five words are one shingle; rows that repeat an id are one document, judged by the text that sorts first; rows with a null id stand alone, with a null
-component, and stay; an empty table gives no rows. Extra columns are kept by :func:`drop_near_copies`.
+than five words are one shingle; rows that repeat an id are documents of their own, each judged by its text (``kept`` marks all that have a
+group's smallest id, :func:`drop_near_copies` leaves one row of it); rows with a null id stand alone, with a null component, and stay; an empty table gives
+no rows. Extra columns are kept by :func:`drop_near_copies`, whatever they are called.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.shared import hot_join, row_slices, stored, text_batches
 from tagloom.llm.words import byte_codes, inside_rows, mix, rolling, span_hashes, text_bytes, word_spans
+from tagloom.operators.ranking import with_rank
 
 SHINGLE = 5
 BAND = 4
@@ -210,11 +212,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``; texts link from a similarity of ``percent`` on."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     named = rows.where(F.col("doc_id").isNotNull())
-    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if not _repeats(named):
         return _groups(rows, percent)
-    one = named.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    placed = _placed(named, "doc_id", "text", "place")
+    groups = _groups(placed.select(F.col("place").alias("doc_id"), "text"), percent).withColumnRenamed("doc_id", "place")
+    ids = placed.select("place", "doc_id")
+    found = groups.join(ids, "place").join(ids.toDF("component_id", "smallest"), "component_id")
     without = signed(rows.where(F.col("doc_id").isNull()), percent).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
-    return named.select("doc_id").join(_groups(one, percent), "doc_id").union(without)
+    kept = F.col("doc_id") == F.col("smallest")
+    return found.select("doc_id", "n_shingles", F.col("smallest").alias("component_id"), kept.alias("kept")).union(without)
+
+
+def _repeats(named: DataFrame) -> bool:
+    return not named.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
+    """``docs`` with the place of each row when they are sorted by id: numbers of their own for rows that share an id."""
+    return with_rank(docs, [docs[id_col].cast("long"), F.xxhash64(docs[text_col])], out)
 
 
 def _groups(rows: DataFrame, percent: int) -> DataFrame:
@@ -248,6 +263,13 @@ def _groups(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One document of each group, with all columns. The list of those that go grows with the corpus, so it is not broadcast."""
-    gone = near_groups(docs, id_col, text_col, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.hint("merge").join(gone, docs[id_col].cast("long") == gone["gone_id"], "left_anti")
+    """One row of each group, with all columns. The list of those that go grows with the corpus, so it is not broadcast."""
+    own_id = docs[id_col].cast("long")
+    if not _repeats(docs.select(own_id.alias("doc_id")).where("doc_id IS NOT NULL")):
+        gone = near_groups(docs, id_col, text_col, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
+        return docs.hint("merge").join(gone, own_id == gone["gone_id"], "left_anti")
+    place = max([*docs.columns, "place"], key=len) + "_"  # no column has this name
+    placed = _placed(docs, id_col, text_col, place)
+    rows = placed.where(placed[id_col].isNotNull()).select(placed[place].alias("doc_id"), placed[text_col].cast("string").alias("text"))
+    gone = _groups(rows, percent).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
+    return placed.hint("merge").join(gone, placed[place] == gone["gone_id"], "left_anti").select(*[placed[c] for c in docs.columns])

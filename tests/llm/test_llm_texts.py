@@ -62,7 +62,7 @@ def test_near_without_rows_or_ids(spark):
     assert minmax_dedup.near_groups(no_docs(spark)).count() == 0
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, None), (1, "a b c d e f"), (2, "A b c d e f"), (2, "other text of it")], "doc_id long, text string")
     got = sorted((tuple(r) for r in minmax_dedup.near_groups(docs).collect()), key=str)
-    assert got == sorted([(None, 2, None, True), (None, 0, None, True), (1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False)], key=str)
+    assert got == sorted([(None, 2, None, True), (None, 0, None, True), (1, 2, 1, True), (2, 2, 1, False), (2, 1, 2, True)], key=str)
 
 
 def test_near_finds_links_beside_the_pivot(spark):
@@ -127,3 +127,38 @@ def test_leaks_empty(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in decontaminate.contamination(odd_docs(spark), items).collect())
     assert decontaminate.contamination(no_docs(spark), items).count() == 0
+
+
+def repeated_ids(spark):
+    rng = random.Random(3)
+    a, b, c = (sentence(rng, 120) for _ in range(3))
+    near = a.split()
+    near[5] = "other"
+    rows = [(1, a, 1), (1, " ".join(near), 2), (1, b, 3), (2, b, 4), (3, c, 5), (3, c, 6), (3, "  " + c, 7), (None, c, 8), (None, c, 9), (None, None, 10), (4, None, 11), (5, "", 12), (6, a + " end", 13)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, place int").repartition(3)
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """Each row is judged by its own text, and one row of each group stays."""
+    rows, docs = repeated_ids(spark)
+    found = {r.place: r for r in minmax_dedup.drop_near_copies(docs).collect()}
+    assert {8, 9, 10, 11, 12} <= set(found) and minmax_dedup.drop_near_copies(docs).schema == docs.schema
+    groups = [{1, 2, 13}, {3, 4}, {5, 6, 7}]
+    assert [len(g & set(found)) for g in groups] == [1, 1, 1] and len(found) == 8
+    got = minmax_dedup.near_groups(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None) == [
+        (1, 1), (1, 1), (1, 1), (2, 1), (3, 3), (3, 3), (3, 3), (4, 4), (5, 5), (6, 1)]
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
+
+
+def test_exact_copies_of_repeated_ids(spark):
+    rows, docs = repeated_ids(spark)
+    left = sorted(r.place for r in exact_dedup.drop_copies(docs).collect())
+    assert exact_dedup.drop_copies(docs).schema == docs.schema
+    # of b one row, of c the longest, of the empty texts the smallest id
+    assert left == [1, 2, 3, 7, 11, 13]
+
+
+def test_exact_copies_with_null_ids_alone(spark):
+    docs = spark.createDataFrame([(None, "a b"), (None, "ab"), (None, "ab ")], "doc_id long, text string")
+    assert [len(r.text) for r in exact_dedup.drop_copies(docs).collect()] == [3]
