@@ -4,8 +4,9 @@
 their joined bytes. So each prefix of a text has one last token: the one that ends there and agrees with the last token
 of the prefix before it. The transducer reads a byte at a time. Its state holds the token starts that are still open,
 each as a place in the trie of all tokens and the last token of the prefix before it; a step names the last token of the
-prefix read so far. A token is final once all open starts lie behind it, which the longest token bounds. States and
-steps come into being when first needed and are forgotten beyond a bound; a forgotten one is made again.
+prefix read so far. Followed back from the open starts, token by token, the ways meet at one place, and what lies before it is
+final whatever comes: this is the lookahead, some tokens' lengths in practice, and all that a stream holds back. States
+and steps come into being when first needed and are forgotten beyond a bound; a forgotten one is made again.
 
 **Decoding.** Tokens may end inside a character. :class:`Utf8Stream` keeps the open bytes of a character between chunks.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,6 +36,8 @@ from tagloom.llm.words import text_bytes
 TRANSITIONS = 150_000
 PAIRS = 200_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+#: A stream looks for final tokens so often; pieces beyond LONG bytes are encoded as streams.
+LOOK, LONG = 64, 1024
 DECODE_STEP = 1 << 18
 SLICE_BYTES = 4 << 20
 
@@ -84,7 +88,7 @@ class Transducer:
         start = (0, -1)
         self.states: dict[tuple, int] = {start: 0}
         self.content: list[tuple] = [start]
-        self.steps: list[dict[int, tuple[int, int, int]]] = [{}]
+        self.steps: list[dict[int, tuple[int, int]]] = [{}]
         self.made = 0
 
     def _agree(self, left: int, right: int) -> bool:
@@ -97,8 +101,8 @@ class Transducer:
             found = self.agrees[key] = a + b not in self.ranks and merge(a + b, self.ranks) == [a, b]
         return found
 
-    def _step(self, state: int, byte: int) -> tuple[int, int, int]:
-        alive, here, reach = [], -1, 0
+    def _step(self, state: int, byte: int) -> tuple[int, int]:
+        alive, here = [], -1
         opened = self.content[state]
         for k in range(0, len(opened), 2):
             node, before = self.children[opened[k]].get(byte), opened[k + 1]
@@ -108,8 +112,6 @@ class Transducer:
             if token >= 0 and here < 0 and (before < 0 or self._agree(before, token)):
                 here = token
             if self.children[node]:
-                if not alive:
-                    reach = self.depth[node]
                 alive += (node, before)
         if here < 0:
             raise ValueError("the ranks lack a byte")
@@ -120,20 +122,33 @@ class Transducer:
             self.content.append(key)
             self.steps.append({})
         self.made += 1
-        self.steps[state][byte] = found = (to, here, reach)
+        self.steps[state][byte] = found = (to, here)
         return found
 
+    def _final(self, last: list[int], state: int) -> int:
+        """The place where the ways back from all open starts meet; tokens before it stay as they are."""
+        heads = {len(last) - self.depth[node] for node in self.content[state][::2]}
+        while len(heads) > 1:
+            top = max(heads)
+            heads.remove(top)
+            heads.add(top - self.length[last[top - 1]])
+        return heads.pop()
+
     def stream(self, chunks: Iterable[bytes]) -> Iterator[int]:
-        """Tokens of a byte stream, each as soon as it is final: all open starts lie behind its end."""
+        """Tokens of a byte stream as soon as they are final; it is looked for them every LOOK bytes."""
         last: list[int] = []  # last token by position, from the last final one on
-        state = 0
+        state, look = 0, LOOK
+        self.held = 0  # most bytes held back so far, for those who watch the bound
         for chunk in chunks:
             for byte in chunk:
-                state, token, reach = self.steps[state].get(byte) or self._step(state, byte)
+                state, token = self.steps[state].get(byte) or self._step(state, byte)
                 last.append(token)
-                if not reach:  # no start but this place is open
-                    yield from self._back(last)
-                    last.clear()
+                if len(last) >= look:
+                    self.held = max(self.held, len(last))
+                    final = self._final(last, state)
+                    yield from self._back(last[:final])
+                    del last[:final]
+                    look = len(last) + LOOK
         yield from self._back(last)
 
     def _back(self, last: list[int]) -> list[int]:
@@ -148,9 +163,11 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if self.made > TRANSITIONS:
             self.forget()
+        if len(piece) > LONG:
+            return list(self.stream([piece]))
         last, state, steps = [], 0, self.steps
         for byte in piece:
-            state, token, _ = steps[state].get(byte) or self._step(state, byte)
+            state, token = steps[state].get(byte) or self._step(state, byte)
             last.append(token)
         return self._back(last)
 
@@ -205,8 +222,15 @@ class Codec:
             ids += self.transducer.encode(piece) if whole is None else (whole,)
         return ids
 
-    def pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        return [np.array(self.encode_text(p.decode()), np.uint32) for p in pieces]
+    def pieces(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that lie one after another, and how many each has."""
+        flat, counts, at = array("I"), np.empty(len(sizes), np.int64), 0
+        raw = data.tobytes()
+        for i, size in enumerate(sizes.tolist()):
+            ids = self.encode_text(raw[at : at + size].decode())
+            flat.extend(ids)
+            counts[i], at = len(ids), at + size
+        return np.array(flat, np.uint32), counts
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         sizes = self.width[ids]
