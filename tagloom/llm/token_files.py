@@ -5,7 +5,8 @@ Columns: ``doc_id``, ``part`` (number of the file), ``local_start`` (ids before
 large; the integers beside them are delta encoded. Row groups are small enough to be skipped as a whole, and pages carry
 an index over ``doc_id``, so that a read of a range of documents, or of lengths alone, touches little of the file.
 
-Defined cases: null and empty text give the end id alone; rows that repeat an id stay, ordered by a hash of
+Defined cases: null and empty text give the end id alone; the string of an added token becomes that token, as the library does
+without further settings; rows that repeat an id stay, ordered by a hash of
 their text; a null id comes first; an empty table gives no rows. Columns beyond the two named ones are not looked at,
 whatever they are called.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.shared import row_slices, text_batches, work_folder
-from tagloom.llm.units import PieceCache, encoded_segments
+from tagloom.llm.units import SPACES, WIDE_SPACES, PieceCache, encoded_segments, spans
 from tagloom.llm.words import text_bytes
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
@@ -41,11 +42,10 @@ SLICE_BYTES = 4 << 20
 _CACHES: dict[str, PieceCache] = {}
 
 
-def _can_follow(piece: bytes) -> bool:
-    """Whether a piece encodes alike behind another: it starts with white space and does not end with it."""
-    if not piece[:1].isspace() or piece.isspace():
-        return False
-    return not piece[-4:].decode("utf-8", "ignore")[-1:].isspace()
+def _can_follow(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which pieces encode alike behind another: those that start with white space and surely do not end with it."""
+    last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+    return SPACES[data[starts]] & ~SPACES[last] & ~((last > 127) & WIDE_SPACES[before])
 
 
 def piece_encoder(tokenizer_file: str):
@@ -54,29 +54,39 @@ def piece_encoder(tokenizer_file: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True
-    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-    width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    added = tokenizer.get_added_tokens_decoder()
+    width = np.zeros(max([*vocabulary.values(), *added]) + 1, np.int64)
     for token, i in vocabulary.items():
         width[i] = len(token)  # in this alphabet a character stands for a byte
-
-    def encode(pieces: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray] = [None] * len(pieces)  # type: ignore[list-item]
-        joined = [i for i, p in enumerate(pieces) if _can_follow(p)]
-        alone = sorted(set(range(len(pieces))) - set(joined))
+    for i, token in added.items():  # their strings stand for them in a text, as the library has it
+        if any(c.isspace() for c in token.content) or token.lstrip or token.rstrip or token.single_word:
+            raise ValueError(f"texts cannot be cut at white space with the added token {token.content!r}")
+        width[i] = len(token.content.encode())
+
+    def encode(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        follows = _can_follow(data, starts, ends) if len(sizes) else np.zeros(0, bool)
+        counts, made = np.zeros(len(sizes), np.int64), [np.empty(0, np.uint32)]
+        joined, alone = np.flatnonzero(follows), np.flatnonzero(~follows)
         for k in range(0, len(joined), 20_000):
             some = joined[k : k + 20_000]
-            text = b"".join(pieces[i] for i in some).decode()
+            text = data[spans(starts[some], sizes[some])].tobytes().decode()
             ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            reach = np.cumsum(width[ids])
-            ends = np.cumsum([len(pieces[i]) for i in some])
-            for i, part in zip(some, np.split(ids, np.searchsorted(reach, ends[:-1], side="right"))):
-                out[i] = part
+            cuts = np.searchsorted(np.cumsum(width[ids]), np.cumsum(sizes[some]), side="right")
+            counts[some] = np.diff(cuts, prepend=0)
+            made.append(ids)
         for k in range(0, len(alone), 2_000):
             some = alone[k : k + 2_000]
-            for i, e in zip(some, tokenizer.encode_batch_fast([pieces[i].decode() for i in some], add_special_tokens=False)):
-                out[i] = np.array(e.ids, np.uint32)
-        return out
+            for i, e in zip(some, tokenizer.encode_batch_fast([data[starts[i] : ends[i]].tobytes().decode() for i in some], add_special_tokens=False)):
+                counts[i] = len(e.ids)
+                made.append(np.array(e.ids, np.uint32))
+        # ids were made for those that follow, then for the others; bring them into the order of the pieces
+        order = np.concatenate([joined, alone])
+        begin = np.empty(len(sizes), np.int64)
+        begin[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate(made)[spans(begin, counts)], counts
 
     return encode
 

@@ -23,7 +23,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(JSON)
-    made.encode_special_tokens = True
     return made
 
 
@@ -176,3 +175,49 @@ def test_word_hashes_differ():
         found = span_hashes(data, starts, ends, codes)
         assert (found[: len(words)] == found[len(words) :][::-1]).all()
         assert len(set(found.tolist())) == len(words) - fold  # A and a are one
+
+
+SPECIAL = ["hello <|endoftext|> world", "<|endoftext|>", "a  <|endoftext|>\n\nb<|endoftext|><|endoftext|> c ", "<|endoftext|", "x<|endoftext|>y", " <|endoftext|>  "]
+
+
+def test_added_tokens_are_as_the_library_has_them(spark, tokenizer, tmp_path):
+    assert 50256 in tokenizer.encode(SPECIAL[0], add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    token_files.write_tokens(docs, str(tmp_path / "t"), JSON, 2)
+    got = {r.doc_id: list(r.ids) for r in token_files.read_tokens(spark, str(tmp_path / "t")).collect()}
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(SPECIAL)}
+
+
+@pytest.mark.parametrize("bits", [0, 3, 12])
+def test_pieces_whose_hashes_meet(tokenizer, encoding, monkeypatch, bits):
+    whole = units.span_hashes
+    monkeypatch.setattr(units, "span_hashes", lambda *a: whole(*a) & np.uint64((1 << bits) - 1))
+    monkeypatch.setattr(units, "CACHE_ENTRIES", 40)
+    texts = random_texts(40) + SPECIAL[:1] + [thue_morse(0) + " " + thue_morse(1), thue_morse(1) + " " + thue_morse(0)]
+    codec = bpe.Codec(RANKS, public.PATTERN)
+    for cache, want in (
+        (units.PieceCache(token_files.piece_encoder(JSON)), lambda t: tokenizer.encode(t, add_special_tokens=False).ids),
+        (codec.cache, encoding.encode_ordinary),
+    ):
+        for text in texts:
+            data, bounds = text_bytes(pa.array([text]))
+            assert [i for _, _, ids, _ in units.encoded_segments(cache, data, bounds) for i in ids.tolist()] == want(text)
+
+
+@pytest.mark.parametrize("kind", ["words", "one", "two", "letters", "wide", "digits", "line"])
+def test_a_stream_holds_back_little(kind):
+    """Long pieces without a cut: what is held back does not grow with them."""
+    rng = np.random.default_rng(1)
+    machine = bpe.codec(RANKS, public.PATTERN).transducer
+    some = [t.decode("utf-8", "ignore") for t in list(machine.ranks)[300:20_000:7]]
+    text = {
+        "words": "".join(rng.choice(some, 15_000)), "one": "a" * 100_000, "two": "ab" * 50_000, "letters": "".join(rng.choice(list("abcdefgh"), 100_000)),
+        "wide": "日本語" * 11_000, "digits": "".join(rng.choice(list("0123456789"), 100_000)), "line": "=-" * 20_000 + "=" * 60_000,
+    }[kind].encode()
+    got = list(machine.stream(text[k : k + 1000] for k in range(0, len(text), 1000)))
+    longest = max(map(len, machine.ranks))
+    assert len(text) >= 60_000 and machine.held <= bpe.LOOK + longest
+    whole = pytest.importorskip("tiktoken").Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=machine.ranks, special_tokens={})
+    assert got == whole.encode_ordinary(text.decode()) == machine.encode(text)
+    first = next(machine.stream([text]))
+    assert first == got[0]
