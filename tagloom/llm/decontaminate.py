@@ -3,8 +3,9 @@
 A task takes the words of some documents (a shard), and sorts the places where a benchmark word pair, or a benchmark item
 of one word, stands: a suffix array of the places that can matter. Every suffix of every benchmark item is then searched
 in it by bisection: those suffixes of the shard that start with the item's next ten words are a range of the array. Ranges
-give the places of verbatim matches, and neighbouring places on one diagonal give the longest ones. Words are compared by
-64-bit hashes and, inside a shard, by their number in the benchmark's word list.
+give the places of verbatim matches, and neighbouring places on one diagonal give the longest ones, which :func:`matches`
+returns with their locations. Words are compared by 64-bit hashes and, inside a shard, by their number in the benchmark's
+word list.
 
 The benchmark is taken in blocks of bounded size; a task searches one block after the other, so memory holds one block
 and the documents are read once and never shuffled.
@@ -109,6 +110,17 @@ def _keys(grid: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(grid.astype(">u4")).view(f"S{4 * grid.shape[1]}").ravel()
 
 
+def _longest(probe: Probe, at: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Longest matches, which are runs of places on one diagonal of one item: their place, words, item and place in it."""
+    owner, diagonal = probe.owner[suffix], at - probe.place[suffix]
+    order = np.lexsort((at, diagonal, owner))
+    a, diagonal, item = at[order], diagonal[order], owner[order]
+    fresh = np.append(True, (a[1:] != a[:-1] + 1) | (diagonal[1:] != diagonal[:-1]) | (item[1:] != item[:-1]))
+    begin = np.flatnonzero(fresh)
+    size = np.diff(np.append(begin, len(a))) - 1 + probe.length[suffix][order][begin]
+    return a[begin], size, item[begin], a[begin] - diagonal[begin]
+
+
 def _verdicts(probes: Iterator[Probe], column: pa.Array, window: int) -> pa.RecordBatch:
     hashes, words = _words(column)
     rows = len(words) - 1
@@ -125,13 +137,8 @@ def _verdicts(probes: Iterator[Probe], column: pa.Array, window: int) -> pa.Reco
         row = np.searchsorted(words, at, side="right") - 1
         for r, item in set(zip(row.tolist(), probe.owner[suffix].tolist())):
             items[r].add(probe.names[item])
-        # a longest match is a run of places on one diagonal of one item
-        order = np.lexsort((at, at - probe.place[suffix], probe.owner[suffix]))
-        a, diagonal, item = at[order], (at - probe.place[suffix])[order], probe.owner[suffix][order]
-        fresh = np.append(True, (a[1:] != a[:-1] + 1) | (diagonal[1:] != diagonal[:-1]) | (item[1:] != item[:-1]))
-        begin = np.flatnonzero(fresh)
-        run = np.diff(np.append(begin, len(a))) - 1 + size[order][begin]
-        np.maximum.at(longest, row[order][begin], run)
+        first, run, _, _ = _longest(probe, at, suffix)
+        np.maximum.at(longest, np.searchsorted(words, first, side="right") - 1, run)
     hit = np.append(0, np.cumsum(np.cumsum(cover[:-1]) > 0))
     n_hit = hit[words[1:]] - hit[words[:-1]]
     joined = [",".join(sorted(x)) for x in items]
@@ -187,6 +194,36 @@ def contamination(
     return result.select(*[F.col(i).alias(c) for i, c in zip(inner, columns)], *found)
 
 
+def matches(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``doc_id, item_id, start, end, item_start``: every longest verbatim match of ``window`` words or more, or of a whole shorter item.
+
+    Words are numbered from 0, ``end`` is exclusive; item ids are text. An item that repeats gives each of its matches once.
+    """
+    blocks = _broadcast_blocks(benchmark, item_col, item_text_col, window, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = [pickle.loads(blocks[0].value)] if len(blocks) == 1 else None
+        for part in (part for batch in batches for part in row_slices(batch, "text", SHARD_BYTES)):
+            hashes, words = _words(part.column("text"))
+            for probe in iter(one) if one else _in_turn(blocks):
+                at, suffix = probe.search(hashes, words)
+                if not len(at):
+                    continue
+                first, size, item, place = _longest(probe, at, suffix)
+                row = np.searchsorted(words, first, side="right") - 1
+                start = first - words[row]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(row)), pa.array([probe.names[i] for i in item], pa.string()),
+                     pa.array(start), pa.array(start + size), pa.array(place)], names=["doc_id", "item_id", "start", "end", "item_start"],
+                )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return text_batches(rows).mapInArrow(run, "doc_id long, item_id string, start long, end long, item_start long")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The clean rows of ``docs`` with their columns."""
     names = docs.columns

@@ -1,9 +1,10 @@
 """Exact copies, near copies, repeated passages and benchmark passages against plain versions."""
 
 import random
+import re
 
 import pytest
-from llm_cases import no_docs, odd_docs, odd_texts, plain_exact, plain_leaks, plain_near, plain_repeats, rows_of, sentence
+from llm_cases import WORD, fold, no_docs, odd_docs, odd_texts, plain_exact, plain_leaks, plain_near, plain_repeats, rows_of, sentence
 
 from tagloom.llm import decontaminate, exact_dedup, minmax_dedup, substring_dedup
 
@@ -162,3 +163,35 @@ def test_exact_copies_of_repeated_ids(spark):
 def test_exact_copies_with_null_ids_alone(spark):
     docs = spark.createDataFrame([(None, "a b"), (None, "ab"), (None, "ab ")], "doc_id long, text string")
     assert [len(r.text) for r in exact_dedup.drop_copies(docs).collect()] == [3]
+
+
+def plain_matches(rows, items, window=10):
+    """Every longest run of equal words of a text and an item, of ``window`` words or of the whole item."""
+    out = []
+    for i, t in rows:
+        w = re.findall(WORD, fold(t))
+        for name, text in items:
+            v = re.findall(WORD, fold(text))
+            least = min(window, len(v))
+            for a in range(len(w)):
+                for b in range(len(v)):
+                    if w[a] != v[b] or (a and b and w[a - 1] == v[b - 1]):
+                        continue
+                    n = 0
+                    while a + n < len(w) and b + n < len(v) and w[a + n] == v[b + n]:
+                        n += 1
+                    if n >= least:
+                        out.append((i, str(name), a, a + n, b))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [32 << 20, 300])
+def test_locations_of_matches(spark, block):
+    rng = random.Random(7)
+    items = [(i, sentence(rng, rng.choice([1, 2, 9, 10, 11, 30, 60]), 40)) for i in range(20)] + [(50, None), (51, " ,."), (52, "same " * 14)]
+    texts = [" ".join(rng.choice([sentence(rng, 6, 40), " ".join((rng.choice(items)[1] or "").split()[rng.randint(0, 9):])]) for _ in range(8)) for _ in range(25)]
+    rows = list(enumerate([*texts, None, "", "same " * 25, items[0][1].upper()]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block)
+    assert rows_of(found) == sorted(plain_matches(rows, items), key=str) and found.count() > 30
+    assert decontaminate.matches(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
