@@ -37,10 +37,10 @@ from tagloom.llm.words import byte_codes, rolling, span_hashes, text_bytes, word
 
 #: Bound of the labelled rows that are learned from.
 SAMPLE = 20_000
-#: Bound of the lexicon.
-TERMS = 2_000
-SHORTEST, LONGEST, FUZZY_FROM = 4, 24, 5
-LEAST_DOCS, LEAST_SHARE, LEAST_ODDS, CHAIN = 4, 0.01, 3.0, 0.7
+#: Letters of a term or stem, and of those that may be misspelled. A prefix counts if it is in so many toxic examples and has
+#: such log odds for them; the lexicon holds all that do, and the sample bounds it.
+SHORTEST, LONGEST, FUZZY_FROM = 3, 24, 5
+LEAST_DOCS, LEAST_ODDS, CHAIN = 4, 3.0, 0.7
 WINDOW = 50
 SHINGLE = 5
 FUZZY_WEIGHT, QUOTED_WEIGHT = 0.5, 0.25
@@ -347,7 +347,7 @@ def choose_terms(counts: dict[str, int]) -> tuple[list[str], list[str]]:
                 terms.add(p[:-1])
                 break
     for p in counts:  # whole words whose beginning is no sign
-        if p.endswith("$") and p[:-1] not in counts and p[:SHORTEST] not in counts:
+        if p.endswith("$") and not any(p[:k] in counts for k in range(SHORTEST, len(p))):
             terms.add(p[:-1])
     return sorted(terms), sorted(stems)
 
@@ -377,8 +377,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     if not toxic or not clean:
         return Model([], [])
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    least = max(LEAST_DOCS, math.ceil(LEAST_SHARE * toxic))
-    passed = _prefix_counts(first).where((F.col("toxic") >= least) & (odds >= LEAST_ODDS)).orderBy(F.desc("toxic"), "prefix").limit(TERMS).collect()
+    passed = _prefix_counts(first).where((F.col("toxic") >= LEAST_DOCS) & (odds >= LEAST_ODDS)).collect()
     terms, stems = choose_terms({r["prefix"]: r["toxic"] for r in passed})
     model = Model(terms, stems)
 

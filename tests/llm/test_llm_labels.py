@@ -166,3 +166,23 @@ def test_patterns_find_unseen_identifiers(spark):
 def test_personal_data_runs_no_python(spark):
     plan = pii.personal_data(odd_docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_lexicon_of_thousands_of_terms(spark):
+    """No bound but the sample: rare terms, and those of three letters, are learned too."""
+    rng = random.Random(21)
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    terms = sorted({"".join(rng.choice(alphabet) for _ in range(9)) for _ in range(5000)}) + ["zqx", "xzj"]
+    rows = []
+    for i in range(3000):
+        words = [f"word{rng.randint(0, 300)}" for _ in range(40)]
+        if i % 2:
+            words += rng.sample(terms, 140) + [rng.choice(["zqx", "xzj"])]
+            rng.shuffle(words)
+        rows.append((i, " ".join(words), 1, i % 2))
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int").repartition(8)
+    model = toxicity.train(table.select("doc_id", "text"), table.drop("text"))
+    machine = toxicity.Automaton(model.terms, model.stems)
+    missed = [t for t in terms if not machine.match(t)]
+    assert len(missed) <= 0.02 * len(terms) and not {"zqx", "xzj"} & set(missed)
+    assert machine.match("word17") is None
