@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.constants import ASCII_PUNCT, CJK_PUNCT, CASED, CONLL_TYPES, END_POS, END_TOKEN, WORD, digit_class, numeric_class
+from tagloom.functions.sql import register
 from tagloom.functions.text import is_alnum, words_of
 from tagloom.operators import aggregates as ag
 from tagloom.operators import dictionaries as dc
@@ -59,6 +60,17 @@ def sentence_tokens(spark, d):
     return inp.conversation_tokens(spark, d)
 
 
+@query("sql_functions", f"WITH {inp.CONV_TOKENS} SELECT doc_id, sent_id, tok_id, {inp.title_sql('token')} AS token FROM toks WHERE {inp.alnum_sql('token')}")
+def sql_functions(spark, d):
+    """Tokens of the conversations in title case, by functions under SQL names."""
+    register(spark)
+    inp.conversations(spark, d).createOrReplaceTempView("conversation_turns")
+    return spark.sql(
+        """SELECT doc_id, sent_id, tok_id, title_case(token) AS token
+           FROM (SELECT doc_id, inline(r) FROM (SELECT doc_id, sentence_tokens(text) AS r FROM conversation_turns)) WHERE is_alnum(token)"""
+    )
+
+
 @query(
     "sentence_sizes",
     f"""WITH {inp.DOC_TOKENS} SELECT doc_id, sent_id, count(*) AS n_tokens, CAST(sum(length(token)) AS BIGINT) AS n_chars
