@@ -26,6 +26,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,10 +42,12 @@ SAMPLE = 300
 LAYOUTS = 3
 TREES, DEPTH = 20, 5
 SWITCH_COST = 0.5
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|select|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<[a-zA-Z/!?][^<>]*\Z",
-    re.S | re.I,
-)
+_OPEN = re.compile(r"<(?:!--|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+#: The rest of a tag, with marks of quotation heeded and not.
+_TAG_END = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_LOOSE_END = re.compile(r"([^>]*+)>")
+#: Elements whose content is no text of the page: those that end with the page if they are not closed, and others.
+_RAW, _HIDDEN = {"script", "style", "textarea", "iframe", "title"}, {"template", "noscript", "select", "svg"}
 _MARK = re.compile(r'data-y="([01])"')
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -95,69 +98,107 @@ def _attribute_words(text: str) -> frozenset[int]:
     return frozenset(found)
 
 
+def tokens(source: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """``start, end, whether it closes, tag, attributes`` of all markup, going forward only; comments and the like have no tag.
+
+    A tag whose quotation never ends ends at the first ``>``, and so do all tags behind it. Hidden elements are passed over with
+    their content; one that closes itself, or is never closed, is its tag alone, but for scripts and their like.
+    """
+    at, end_of, unclosed = 0, _TAG_END, set()
+    while found := _OPEN.search(source, at):
+        start, at = found.span()
+        if found[3] is None:  # a comment or a declaration
+            mark = ">" if found[1] else "-->"
+            at = source.find(mark, at)
+            at = len(source) if at < 0 else at + len(mark)
+            yield start, at, False, "", ""
+            continue
+        rest = end_of.match(source, at)
+        if rest is None and end_of is _TAG_END:
+            end_of = _LOOSE_END
+            rest = end_of.match(source, at)
+        if rest is None:  # no tag ends any more: what is left is text, but for the last beginning of one
+            start = source.rfind("<")
+            if re.match("[a-zA-Z/!?]", source[start + 1 : start + 2]):
+                yield start, len(source), False, "", ""
+            return
+        at, tag = rest.end(), found[3].lower()
+        if (tag in _RAW or tag in _HIDDEN) and not found[2]:
+            if not (rest[1].endswith("/") and tag == "svg") and tag not in unclosed:
+                close = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+                if close:
+                    at = close.end()
+                elif tag in _RAW:
+                    at = len(source)
+                else:
+                    unclosed.add(tag)
+            yield start, at, False, "", ""
+            continue
+        yield start, at, bool(found[2]), tag, rest[1]
+
+
 def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The nodes, parents first, and the pieces of text with their node, in page order; a node of -1 is a block border."""
     nodes = [Node("#page", -1, 0, 0, frozenset())]
     pieces: list[tuple[int, str]] = []
-    stack = [0]
+    stack, blocks = [0], [0]  # open nodes, and the places of blocks among them
+    where: dict[str, list[int]] = defaultdict(list)  # places of the open nodes of a tag
     head = False
 
     def close(upto: int) -> None:
         while len(stack) > upto:
-            if nodes[stack.pop()].tag in _BLOCK:
+            tag = nodes[stack.pop()].tag
+            where[tag].pop()
+            if tag in _BLOCK:
+                blocks.pop()
                 pieces.append((-1, ""))
 
+    def last(tags) -> int:
+        return max((where[t][-1] for t in tags if where[t]), default=0)
+
     def text(chunk: str) -> None:
         if chunk and not head:
             pieces.append((stack[-1], chunk))
 
     at = 0
-    for token in _TOKEN.finditer(source):
-        text(source[at : token.start()])
-        at = token.end()
-        tag = (token[3] or "").lower()
+    for start, end, closes, tag, attributes in tokens(source):
+        text(source[at:start])
+        at = end
         if not tag:
             continue
         if tag == "head":
-            head = not token[2]
+            head = not closes
             continue
-        if token[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag == tag:
-                    close(i)
-                    break
-                if tag not in _BLOCK and nodes[stack[i]].tag in _BLOCK:
-                    break
+        if closes:
+            place = last([tag])
+            if place and (tag in _BLOCK or place > blocks[-1]):  # inside the innermost block, if it is none itself
+                close(place)
             continue
         if tag == "br":
             text(" ")
             continue
         if tag in ("body", "frameset"):
             head = False
-        if tag in _CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if nodes[stack[i]].tag == "p":
-                    close(i)
-                    break
-                if nodes[stack[i]].tag in _BLOCK:
-                    break
-        for i in range(len(stack) - 1, 0, -1) if tag in _SAME else ():
-            if nodes[stack[i]].tag in _STOP[tag]:
-                break
-            if nodes[stack[i]].tag in _SAME[tag]:
-                close(i)
-                break
+        if tag in _CLOSES_P and blocks[-1] and nodes[stack[blocks[-1]]].tag == "p":
+            close(blocks[-1])
+        if tag in _SAME:
+            place = last(_SAME[tag])
+            if place > last(_STOP[tag]):
+                close(place)
         if tag in _BLOCK:
             pieces.append((-1, ""))
-        if tag in _VOID or (token[4] or "").endswith("/") and tag not in _BLOCK:
+        if tag in _VOID or attributes.endswith("/") and tag not in _BLOCK:
             continue
         parent = stack[-1]
-        named = "=" in token[4]
-        mark = _MARK.search(token[4]) if named else None
+        named = "=" in attributes
+        mark = _MARK.search(attributes) if named else None
         nodes.append(
-            Node(tag, parent, len(stack), len(nodes[parent].children), _attribute_words(token[4]) if named else frozenset(), int(mark[1]) if mark else None)
+            Node(tag, parent, len(stack), len(nodes[parent].children), _attribute_words(attributes) if named else frozenset(), int(mark[1]) if mark else None)
         )
         nodes[parent].children.append(len(nodes) - 1)
+        where[tag].append(len(stack))
+        if tag in _BLOCK:
+            blocks.append(len(stack))
         stack.append(len(nodes) - 1)
     text(source[at:])
     return nodes, pieces
@@ -188,6 +229,10 @@ def measure(nodes: list[Node], pieces: list[tuple[int, str]]) -> np.ndarray:
     groups = len(TAG_GROUPS) + len(ATTRIBUTE_GROUPS)
     page = max(1, nodes[0].total)
     ended: list[int] = [0] * len(nodes)  # text before a node, as a place in the page
+    before_of = [0] * len(nodes)
+    alike: list[Counter] = [Counter() for _ in nodes]  # children of each tag
+    for n in nodes[1:]:
+        alike[n.parent][n.tag] += 1
     for i, n in enumerate(nodes):
         x = out[i]
         for g, tags in enumerate(TAG_GROUPS):
@@ -200,12 +245,13 @@ def measure(nodes: list[Node], pieces: list[tuple[int, str]]) -> np.ndarray:
         x[groups : 2 * groups] = np.maximum(above[:groups], above[groups : 2 * groups])
         before = nodes[siblings[n.place - 1]] if n.place else None
         after = nodes[siblings[n.place + 1]] if n.place + 1 < len(siblings) else None
-        ended[i] = ended[n.parent] + sum(nodes[s].total for s in siblings[max(0, n.place - 50) : n.place])
+        ended[i] = ended[n.parent] + before_of[n.parent]  # running sums and counts of the parent, over all its children so far
+        before_of[n.parent] += n.total
         rest = np.array(
             [
                 np.log1p(n.total), np.log1p(n.own), n.total / page, n.total / n.count, n.linked / max(1, n.total), n.stops / max(1, n.total),
                 n.depth, n.place / max(1, len(siblings) - 1), np.log1p(len(siblings)), np.log1p(before.total) if before else -1,
-                np.log1p(after.total) if after else -1, sum(nodes[s].tag == n.tag for s in siblings[:50]), ended[i] / page,
+                np.log1p(after.total) if after else -1, alike[n.parent][n.tag], ended[i] / page,
                 n.total / max(1, nodes[n.parent].total), np.log1p(n.count),
             ]
         )
