@@ -100,7 +100,11 @@ class Ledger:
         The new entry names those it replaces, so it takes effect at once; that they are deleted afterwards changes nothing.
         """
         self.recover()
-        entries = dict(list(self._read().items())[:-1])
+        live = self._read()
+        for entry in self.entries():  # what an earlier call replaced but did not come to delete
+            if entry not in live:
+                self.folder.delete(f"ledger/{entry}.json")
+        entries = dict(list(live.items())[:-1])
         if len(entries) < 2:
             return
         ids = self._answered(spark, entries).where(F.col("at") > F.current_timestamp() - F.make_dt_interval(days=F.lit(keep_days).cast("int")))
