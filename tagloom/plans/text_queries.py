@@ -169,7 +169,7 @@ _REBUILT = f"""{inp.DOC_CHARS}, pert AS (SELECT doc_id, sent_id, tok_id, token,
 
 @query("rebuild_words", f"WITH {_REBUILT} SELECT doc_id, sent_id, word_id, word FROM wd")
 def rebuild_words(spark, d):
-    return sq.rebuild_words(inp.perturbed_chars(inp.document_chars(spark, d)))
+    return sq.rebuild_words(inp.perturbed_chars(inp.document_chars(spark, d, packed=True)))
 
 
 @query(
@@ -177,7 +177,7 @@ def rebuild_words(spark, d):
     f"WITH {_REBUILT} SELECT doc_id, sent_id, string_agg(word, ' ' ORDER BY word_id) AS value FROM wd GROUP BY 1, 2",
 )
 def rebuild_lines(spark, d):
-    return sq.words_to_lines(sq.rebuild_words(inp.perturbed_chars(inp.document_chars(spark, d))))
+    return sq.words_to_lines(sq.rebuild_words(inp.perturbed_chars(inp.document_chars(spark, d, packed=True)), packed=True))
 
 
 _LAGS = """ctx AS (SELECT *, lag(token, 1) OVER w AS p1, lag(token, 2) OVER w AS p2, lead(token, 1) OVER w AS n1,
@@ -369,7 +369,7 @@ _ENTITIES = """seg AS (SELECT *, truth LIKE 'L-%' OR truth LIKE 'U-%' AS c, coal
 
 @query("entity_phrases", f"WITH {inp.DOC_TOKENS}, {inp.TRUTH_TOKENS}, {_ENTITIES} SELECT doc_id, entity, ner, cnt FROM ph")
 def entity_phrases(spark, d):
-    return tg.entity_phrases(inp.with_truth(inp.document_tokens(spark, d)), "truth")
+    return tg.entity_phrases(inp.with_truth(inp.document_tokens(spark, d, packed=True)), "truth")
 
 
 @query(
@@ -383,7 +383,7 @@ def remap_entities(spark, d):
     words = table(spark, d, "benchmark").select(F.explode(words_of("text")).alias("w")).distinct()
     words = words.where(~F.col("w").contains("##"))
     remap = words.select(F.concat("w", F.lit("##PPL")).alias("wrong"), F.concat("w", F.lit("##COM")).alias("correct"))
-    return tg.remap_entities(tg.entity_phrases(inp.with_truth(inp.document_tokens(spark, d)), "truth"), remap)
+    return tg.remap_entities(tg.entity_phrases(inp.with_truth(inp.document_tokens(spark, d, packed=True)), "truth"), remap)
 
 
 @query(
@@ -485,7 +485,7 @@ def _segments_sql(tag: str) -> str:
       round(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 4) AS f1 FROM r""",
 )
 def entity_metrics(spark, d):
-    return mt.entity_metrics(inp.with_prediction(inp.document_tokens(spark, d)))
+    return mt.entity_metrics(inp.with_prediction(inp.document_tokens(spark, d, packed=True)))
 
 
 def _report_sql(source: str, where: str, digits: int = 3) -> str:
