@@ -6,12 +6,15 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from tagloom.operators import crf
 from tagloom.operators import metrics as mt
 from tagloom.operators import sequences as sq
 from tagloom.operators import tags as tg
 from tagloom.operators import tokens as tk
+from tagloom.operators.features import FeatureConfig
 from tagloom.plans import inputs as inp
 from tagloom.plans import text_queries as tq
+from tagloom.plans import training as tr
 
 TEXTS = [(0, "Ab cd, e.\nMr X  went home"), (0, "Ab cd, e.\nMr X  went home"), (1, "\n \nA. Bc d! Efg"), (2, ""), (None, "x yz"), (3, None)]
 
@@ -59,3 +62,18 @@ def test_entities_alike(docs):
 def test_characters_are_not_shuffled(spark, folder, name):
     moved = shuffled_columns(getattr(tq, name)(spark, folder))
     assert moved and not any("token" in columns or "tok_id" in columns for columns in moved)
+
+
+def test_tagging_keeps_sentences_whole(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    chars = tk.char_bilou(tk.document_lines(docs))
+    tagger = tr.train(chars, FeatureConfig(), buckets=1 << 10, max_iter=2)
+    lines = tk.document_lines(docs.union(docs.limit(5)))  # texts that come twice are one sentence
+    plain, packed = (tagger.tag(tk.char_bilou(lines, packed=p), label="ner") for p in (False, True))
+    assert sq.is_packed(packed) and rows(sq.unpack(packed)) == rows(plain)
+    assert rows(tr.segment_lines(lines, tagger)) == rows(sq.words_to_lines(sq.rebuild_words(plain, "pred")))
+    assert not any("token" in columns for columns in shuffled_columns(tr.segment_lines(lines, tagger)))
+    ended = crf.restore_ends(sq.unpack(packed).withColumnsRenamed({"pred": "ner", "truth": "pos"}))
+    whole = crf.restore_ends(sq.keep_fields(sq.with_fields(packed, {"ner": lambda g: g("pred"), "pos": lambda g: g("truth")}), ["tok_id", "token", "ner", "pos"]))
+    names = ["doc_id", "sent_id", "tok_id", "token", "ner", "pos"]
+    assert rows(whole, *names) == rows(ended, *names)
