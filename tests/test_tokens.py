@@ -150,6 +150,16 @@ def predictions(spark, sentences):
     return spark.createDataFrame(data, "doc_id long, sent_id int, tok_id int, token string, truth string, pred string")
 
 
+def test_markup_splits_each_sentence_once(spark):
+    """A type of a closing word beats the order of pairs, and the words are not split anew for a filter or a pair."""
+    texts = ["||a b||company||| ||c||person|||", "||a ||b x||person||| y||company||| z", "||a b||company|||person||| c", "x || y", "x"]
+    df = spark.createDataFrame([(1, i, s) for i, s in enumerate(texts)], "doc_id long, sent_id int, sentence string")
+    marked = tk.markup_to_bilou(df)
+    got = [" ".join(r["ner"] for r in sorted(marked.where(f"sent_id = {i}").collect(), key=lambda r: r["tok_id"])) for i in range(5)]
+    assert got == ["B-COM L-COM U-PPL", "B-PPL B-COM I-COM L-COM O", "B-COM L-COM O", "O O O", ""]
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 def test_entity_metrics(spark):
     df = predictions(spark, [[("U-COM", "U-COM"), ("O", "O"), ("B-PPL", "B-PPL"), ("L-PPL", "O")]])
     got = {r["label"]: tuple(r)[1:] for r in mt.entity_metrics(df).collect()}
