@@ -427,11 +427,14 @@ def tag_diff(spark, d):
         truth AS fixed_ner FROM preds WHERE pred <> truth""",
 )
 def tag_diff_tables(spark, d):
-    """The same over two stored taggings, compared bucket by bucket."""
+    """The same over two stored taggings, compared bucket by bucket.
+
+    There are more buckets with more splits of the documents, so that a task sorts one bucket in memory at any size.
+    """
     tokens, folder = inp.with_prediction(inp.document_tokens(spark, d)), work_folder(spark, "taggings")
-    name = folder.rsplit("-", 1)[-1]
+    name, buckets = folder.rsplit("-", 1)[-1], 16 * max(1, table(spark, d, "documents").rdd.getNumPartitions())
     saved = [
-        tg.save_token_table(tokens.select(*tg.TOKEN_KEY, "token", F.col(c).alias("ner")), f"tags_{c}_{name}", f"{folder}/{c}", buckets=16)
+        tg.save_token_table(tokens.select(*tg.TOKEN_KEY, "token", F.col(c).alias("ner")), f"tags_{c}_{name}", f"{folder}/{c}", buckets=buckets)
         for c in ("pred", "truth")
     ]
     return tg.tag_diff(*saved)

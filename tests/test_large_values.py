@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from helpers import rows, tokens
 
+from tagloom.plans import text_queries as tq
 from tagloom.operators import aggregates as ag
 from tagloom.operators import dictionaries as dc
 from tagloom.operators import ranking as rk
@@ -138,3 +139,21 @@ def test_stored_taggings_are_compared_in_place(spark, tmp_path):
         for k in range(2):
             spark.sql(f"DROP TABLE taggings_{k}")
     assert len(rows(tg.tag_diff(one, other))) > 5
+
+
+def test_stored_taggings_get_buckets_by_splits(spark, tmp_path):
+    """A bucket must not grow with the documents."""
+    schema = "doc_id long, text string"
+    texts = spark.createDataFrame([(i, f"word{i} the a. B c") for i in range(40)], schema).repartition(4)
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    settings = {"spark.sql.files.openCostInBytes": str(1 << 30), "spark.sql.autoBroadcastJoinThreshold": "-1"}  # a split for each file
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        diff = tq.tag_diff_tables(spark, str(tmp_path))
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        assert "SelectedBucketsCount: 64 out of 64" in diff._jdf.queryExecution().explainString(mode)
+        assert rows(diff) == rows(tq.tag_diff(spark, str(tmp_path)))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
