@@ -369,7 +369,7 @@ _ENTITIES = """seg AS (SELECT *, truth LIKE 'L-%' OR truth LIKE 'U-%' AS c, coal
 
 @query("entity_phrases", f"WITH {inp.DOC_TOKENS}, {inp.TRUTH_TOKENS}, {_ENTITIES} SELECT doc_id, entity, ner, cnt FROM ph")
 def entity_phrases(spark, d):
-    return tg.entity_phrases(inp.with_truth(inp.document_tokens(spark, d, packed=True)), "truth")
+    return tg.entity_phrases(inp.with_truth(inp.dealt_tokens(spark, d)), "truth")
 
 
 @query(
@@ -383,7 +383,7 @@ def remap_entities(spark, d):
     words = table(spark, d, "benchmark").select(F.explode(words_of("text")).alias("w")).distinct()
     words = words.where(~F.col("w").contains("##"))
     remap = words.select(F.concat("w", F.lit("##PPL")).alias("wrong"), F.concat("w", F.lit("##COM")).alias("correct"))
-    return tg.remap_entities(tg.entity_phrases(inp.with_truth(inp.document_tokens(spark, d, packed=True)), "truth"), remap)
+    return tg.remap_entities(tg.entity_phrases(inp.with_truth(inp.dealt_tokens(spark, d)), "truth"), remap)
 
 
 @query(
@@ -488,7 +488,7 @@ def _segments_sql(tag: str) -> str:
       round(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 4) AS f1 FROM r""",
 )
 def entity_metrics(spark, d):
-    return mt.entity_metrics(inp.with_prediction(inp.document_tokens(spark, d, packed=True)))
+    return mt.entity_metrics(inp.with_prediction(inp.dealt_tokens(spark, d)))
 
 
 def _report_sql(source: str, where: str, digits: int = 3) -> str:

@@ -6,6 +6,8 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from tagloom.constants import SENTENCE_END, SPACE
+from tagloom.functions.text import words_of
 from tagloom.operators import crf
 from tagloom.operators import metrics as mt
 from tagloom.operators import sequences as sq
@@ -77,3 +79,31 @@ def test_tagging_keeps_sentences_whole(spark, folder):
     whole = crf.restore_ends(sq.keep_fields(sq.with_fields(packed, {"ner": lambda g: g("pred"), "pos": lambda g: g("truth")}), ["tok_id", "token", "ner", "pos"]))
     names = ["doc_id", "sent_id", "tok_id", "token", "ner", "pos"]
     assert rows(whole, *names) == rows(ended, *names)
+
+
+def test_queries_on_dealt_texts_move_texts_only(spark, folder):
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    try:
+        for make in (tq.entity_phrases, tq.entity_metrics, tq.remap_entities):
+            if make is tq.remap_entities:
+                spark.createDataFrame([(0, "word1 the")], "item_id long, text string").write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
+            moved = shuffled_columns(make(spark, folder))
+            assert any("text#" in m for m in moved), make
+            # Neither tokens nor sentences, which would be made before the shuffle.
+            assert not any(c in m for m in moved for c in ("token#", "sentence#", "_texts#")), (make, moved)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_dealt_tokens_are_the_tokens(spark, folder):
+    assert rows(inp.dealt_tokens(spark, folder)) == rows(inp.document_tokens(spark, folder))
+
+
+def test_breaks_alike(spark):
+    """Sentences and words end where the plain patterns, without the look-ahead, have them end."""
+    odd = ["a. b", "a.  \n b", "\n\n.\n", "x\u3002\u3000y\u00a0z", ".\t!\x1f?\x85", "", " ", "a\u2028b. \u2009c", ".~ !\x7f ?\x7f"]
+    df = spark.createDataFrame([(t,) for t in odd], "t string")
+    plain = rf"(?<=[{SENTENCE_END}])[{SPACE}]+|\n"
+    for got, want in ((F.split("t", tk.SENTENCE_BREAK), F.split("t", plain)), (words_of("t"), F.array_remove(F.split("t", rf"[{SPACE}]+"), ""))):
+        assert df.where(~got.eqNullSafe(want)).count() == 0
