@@ -85,7 +85,7 @@ def test_queries_on_dealt_texts_move_texts_only(spark, folder):
     setting = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(setting)
     try:
-        for make in (tq.entity_phrases, tq.entity_metrics, tq.remap_entities):
+        for make in (tq.entity_phrases, tq.entity_metrics, tq.tag_diff, tq.remap_entities):
             if make is tq.remap_entities:
                 spark.createDataFrame([(0, "word1 the")], "item_id long, text string").write.mode("overwrite").parquet(f"{folder}/benchmark.parquet")
             moved = shuffled_columns(make(spark, folder))
