@@ -9,7 +9,7 @@ from tagloom.operators import crf, crf_sharded as sh
 from tagloom.operators import feature_index as fi
 from tagloom.operators.features import FeatureConfig, feature_columns, feature_table
 from tagloom.operators.tokens import char_bilou
-from tagloom.plans import training as tr
+from tagloom.plans import inputs as inp, training as tr
 
 CONFIG = FeatureConfig(window=1)
 
@@ -102,3 +102,30 @@ def test_no_rows(spark, chars):
     assert model.labels == [] and sh.predict(chars, model, CONFIG).count() == 0
     some = sh.fit(chars.where("doc_id = 1"), CONFIG, max_iter=2)
     assert sh.predict(chars.limit(0), some, CONFIG).count() == 0
+
+
+def test_losses_equal_over_many_parts_and_blocks(spark, chars, monkeypatch):
+    monkeypatch.setattr(sh, "TOKENS", 40)
+    monkeypatch.setattr(sh, "WEIGHTS", 50)
+    buckets, steps = 1 << 22, 4
+    want = crf.crf_fit(crf.sequence_rows(chars, CONFIG, buckets=buckets), buckets, 0.1, 0.1, steps)
+    model = sh.fit(chars, CONFIG, c1=0.1, c2=0.1, max_iter=steps)
+    assert np.allclose(model.losses, want.losses, rtol=1e-6) and np.allclose(model.trans, want.trans, atol=1e-4)
+    ids = sorted(r.id for r in model.weights.collect())
+    assert ids == list(range(model.index.size)) and len(ids) > 100
+
+
+def test_steps_keep_rows_of_parts_and_blocks(spark, chars, monkeypatch):
+    kept, freeze = [], sh.freeze
+    monkeypatch.setattr(sh, "freeze", lambda df: kept.append(freeze(df)) or kept[-1])
+    model = sh.fit(chars, FeatureConfig(window=2), max_iter=3)
+    assert len(kept) > 6 and max(df.count() for df in kept) <= 10 < model.index.size  # eight partitions
+
+
+def test_turns_are_dealt_out_once(spark, tmp_path):
+    turns = [(c, t, f"Ab cd {c}. Ef") for c in range(20) for t in (0, 1, 2, None)]
+    spark.createDataFrame(turns, "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    tokens = inp.dealt_conversation_tokens(spark, str(tmp_path))
+    assert rows(tokens) == rows(inp.conversation_tokens(spark, str(tmp_path)))
+    texts = sh.sequence_texts(tokens.withColumn("ner", F.lit("O")), FeatureConfig(window=0))
+    assert texts._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # of texts, not of tokens
