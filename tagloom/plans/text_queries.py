@@ -434,12 +434,18 @@ def tag_diff(spark, d):
 def tag_diff_tables(spark, d):
     """The same over two stored taggings, compared bucket by bucket.
 
-    There are more buckets with more splits of the documents, so that a task sorts one bucket in memory at any size.
+    There are more buckets with more splits of the documents, so that a task sorts one bucket in memory at any size. Texts are
+    dealt out to them, in the order of their keys, and tokens are made behind that, so no token moves.
     """
-    tokens, folder = inp.with_prediction(inp.document_tokens(spark, d)), work_folder(spark, "taggings")
-    name, buckets = folder.rsplit("-", 1)[-1], 16 * max(1, table(spark, d, "documents").rdd.getNumPartitions())
+    docs, folder = table(spark, d, "documents"), work_folder(spark, "taggings")
+    name, buckets = folder.rsplit("-", 1)[-1], 16 * max(1, docs.rdd.getNumPartitions())
+    dealt = docs.select("doc_id", "text").repartition(buckets, "doc_id").sortWithinPartitions("doc_id")
+    tokens = inp.with_prediction(tk.sentence_tokens(dealt))
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     saved = [
-        tg.save_token_table(tokens.select(*tg.TOKEN_KEY, "token", F.col(c).alias("ner")), f"tags_{c}_{name}", f"{folder}/{c}", buckets=buckets)
+        tg.save_token_table(
+            tokens.select(*tg.TOKEN_KEY, "token", F.col(c).alias("ner")), f"tags_{c}_{name}", f"{folder}/{c}", buckets=buckets, dealt="doc_id"
+        )
         for c in ("pred", "truth")
     ]
     return tg.tag_diff(*saved)
