@@ -156,3 +156,23 @@ def test_stored_taggings_are_dealt_out_as_texts(spark, folder, monkeypatch):
         assert ") Exchange" not in plan(diff)
     finally:
         spark.conf.set(setting, before)
+
+
+def test_sentences_of_one_token():
+    lengths, scores = np.ones(3, np.int64), np.arange(6.0).reshape(3, 2)
+    z, marginals, pairs = k.expectations(scores, np.ones((2, 2)), lengths)
+    assert np.isclose(z, np.logaddexp(scores[:, 0], scores[:, 1]).sum()) and not pairs.any()
+    assert np.allclose(marginals.sum(axis=1), 1) and k.best_paths(scores, np.ones((2, 2)), lengths).tolist() == [1, 1, 1]
+    block = k.Block(k.make_block([np.arange(3, dtype=np.int32)], lengths, [[0]])[1])
+    sums, moves = block.observed(np.array([0, 1, 1]), 2)
+    assert sums.tolist() == [[1, 0], [0, 1], [0, 1]] and not moves.any()
+
+
+def test_scaling_holds_for_steep_transitions():
+    """Sums are scaled before they vanish, however far apart the weights of steps are."""
+    rng = np.random.default_rng(5)
+    for spread in (1.0, 30.0, 120.0):
+        scores, trans, lengths = rng.normal(size=(60, 3)) * 5, rng.normal(size=(3, 3)) * spread, np.array([40, 1, 19])
+        z, marginals, _ = k.expectations(scores, trans, lengths)
+        assert np.isfinite(z) and np.isfinite(marginals).all()
+        assert np.allclose(marginals.sum(axis=1), 1)
